@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions import timefns
-from ledgerline.operators import rollups, spine
+from ledgerline.operators import audits, rollups, spine
 from ledgerline.plans.customer_summary import customer_month_slice, customer_summary
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 from ledgerline.session import ensure_utc
@@ -129,3 +129,39 @@ def q_rev_ts(spark, sf_dir):
 @query("sub_by_timestamp")
 def q_sub_ts(spark, sf_dir):
     return rollups.sub_by_timestamp(feedmod.subscription_feed(spark, sf_dir))
+
+
+# --- audits (over models built from feeds with rule-injected violations) ------
+
+def _audited_models(spark, sf_dir):
+    f = _feeds(spark, sf_dir, inject=True)
+    return {
+        "customer_summary": customer_summary(f, *DATA_SPINE, form="star"),
+        "subscription_revenue_summary": subscription_revenue_summary(f),
+    }
+
+
+@query("audit_counts_customer")
+def q_audit_counts_customer(spark, sf_dir):
+    """Q1-Q5 (and the gap-aware Q1/Q3) on customer_summary, one scan, one row."""
+    m = customer_summary(_feeds(spark, sf_dir, inject=True), *DATA_SPINE, form="star")
+    return audits.audit_counts(m, audits.CUSTOMER_AUDITS + audits.CUSTOMER_GAP_AWARE_AUDITS)
+
+
+@query("audit_counts_revenue")
+def q_audit_counts_revenue(spark, sf_dir):
+    """Q6-Q9 on subscription_revenue_summary, one scan, one row."""
+    m = subscription_revenue_summary(_feeds(spark, sf_dir, inject=True))
+    return audits.audit_counts(m, audits.REVENUE_AUDITS)
+
+
+def _register_audit_rows(audit):
+    def run(spark, sf_dir):
+        model = _audited_models(spark, sf_dir)[audit.model]
+        return audits.violations(model, audit)
+    run.__doc__ = f"Rows of {audit.model} that break '{audit.name}': {audit.description}."
+    query(f"audit_rows_{audit.name}")(run)
+
+
+for _a in audits.AUDITS.values():
+    _register_audit_rows(_a)

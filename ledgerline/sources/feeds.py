@@ -164,7 +164,7 @@ def churn_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False
     flag = F.when(F.col("k") % 11 == 0, F.lit(None).cast("boolean")).otherwise(
         derive.high_risk_default(risk, F.col("event_id") % 2 == 1, F.lit(False)))
     if inject_violations:
-        risk = F.when(F.col("k") == 99, _d("1.2")).otherwise(risk)
+        risk = F.when(F.col("user_id") % 37 == 0, _d("1.2")).otherwise(risk)
     out = e.select(
         F.col("event_id").cast("string").alias("churn_event_id"),
         F.col("user_id").cast("string").alias("user_id"),
@@ -188,7 +188,7 @@ def engagement_feed(spark: SparkSession, sf_dir: str, inject_violations: bool =
     k = F.col("k")
     score = F.round(derive.clip(val, _d("1"), _d("100")), 0)
     if inject_violations:
-        score = F.when(F.col("value") > 300, _d("101")).otherwise(score)
+        score = F.when(F.col("user_id") % 41 == 0, _d("101")).otherwise(score)
     inquiries = k % 4
     connected = k % 2 == 0
     etype = F.col("event_type")

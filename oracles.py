@@ -102,7 +102,7 @@ ev AS (
 
 
 def _cte_churn(inject: bool) -> str:
-    risk_out = "CASE WHEN k = 99 THEN CAST(1.2 AS DECIMAL(38,9)) ELSE risk END" if inject else "risk"
+    risk_out = "CASE WHEN user_id % 37 = 0 THEN CAST(1.2 AS DECIMAL(38,9)) ELSE risk END" if inject else "risk"
     return f"""
 churn_base AS (
   SELECT *,
@@ -144,7 +144,7 @@ churn AS (
 def _cte_eng(inject: bool) -> str:
     score = "round(greatest(CAST(1 AS DECIMAL(18,2)), least(CAST(value AS DECIMAL(18,2)), CAST(100 AS DECIMAL(18,2)))), 0)"
     if inject:
-        score = f"CASE WHEN value > 300 THEN 101 ELSE {score} END"
+        score = f"CASE WHEN user_id % 41 = 0 THEN 101 ELSE {score} END"
     return f"""
 eng AS (
   SELECT
@@ -420,4 +420,72 @@ CROSS JOIN unnest(generate_series(b.f, b.l, INTERVAL 1 DAY)) AS s(d)""")
     for name in ("rev_ts", "sub_ts"):
         key = {"rev_ts": "rev_by_timestamp", "sub_ts": "sub_by_timestamp"}[name]
         q[key] = _with(",".join([feeds_cte(), ts_ctes()]), f"SELECT * FROM {name}")
+    q.update(audit_queries())
+    return q
+
+
+# --- audits -------------------------------------------------------------------
+
+_IN = lambda col, vals: f"{col} NOT IN ({', '.join(repr(v) for v in vals)})"
+_STATUS = ("on_track", "delayed", "completed")
+_TREND = ("stable", "increasing", "declining")
+_DELINQ = ("no_delinquency", "no_payment", "payment_failure")
+AUDIT_SQL = {
+    "aggregated_revenue_positive_customer_summary": (
+        "customer_summary", "total_payment_amount <= 0 OR total_annualized_revenue <= 0"),
+    "key_dimensions_not_null": (
+        "customer_summary", "user_id IS NULL OR month IS NULL OR year IS NULL"),
+    "allowed_repayment_and_trend": (
+        "customer_summary",
+        f"{_IN('repayment_status', _STATUS)} OR {_IN('revenue_trend', _TREND)} "
+        f"OR {_IN('payment_delinquency', _DELINQ)}"),
+    "churn_risk_within_range": ("customer_summary", "avg_churn_risk < 0 OR avg_churn_risk > 1"),
+    "engagement_score_range": (
+        "customer_summary", "avg_engagement_score < 0 OR avg_engagement_score > 100"),
+    "aggregated_revenue_positive_customer_summary_skip_gaps": (
+        "customer_summary",
+        "(repayment_status <> 'N/A' AND total_payment_amount <= 0) "
+        "OR (subscription_plan <> 'N/A' AND total_annualized_revenue <= 0)"),
+    "allowed_repayment_and_trend_skip_gaps": (
+        "customer_summary",
+        f"repayment_status <> 'N/A' AND ({_IN('repayment_status', _STATUS)} "
+        f"OR {_IN('revenue_trend', _TREND)} OR {_IN('payment_delinquency', _DELINQ)})"),
+    "rev_not_null_check": (
+        "subscription_revenue_summary",
+        " OR ".join(f"{c} IS NULL" for c in (
+            "user_id", "month", "year", "total_annualized_revenue", "total_payment_amount",
+            "avg_revenue_stability_score", "total_advance_amount", "repayment_status",
+            "revenue_trend", "avg_revenue_volatility", "payment_delinquency"))),
+    "aggregated_revenue_positive_rev_summary": (
+        "subscription_revenue_summary", "total_annualized_revenue <= 0"),
+    "allowed_value_checks": (
+        "subscription_revenue_summary",
+        f"{_IN('repayment_status', _STATUS)} OR {_IN('revenue_trend', _TREND)}"),
+    "repayment_delinquency_consistency": (
+        "subscription_revenue_summary",
+        "(repayment_status = 'delayed' AND payment_delinquency NOT IN ('no_payment', 'payment_failure')) "
+        "OR (repayment_status <> 'delayed' AND payment_delinquency <> 'no_delinquency')"),
+}
+CUSTOMER_COUNT_ORDER = [
+    "aggregated_revenue_positive_customer_summary", "key_dimensions_not_null",
+    "allowed_repayment_and_trend", "churn_risk_within_range", "engagement_score_range",
+    "aggregated_revenue_positive_customer_summary_skip_gaps", "allowed_repayment_and_trend_skip_gaps"]
+REVENUE_COUNT_ORDER = ["rev_not_null_check", "aggregated_revenue_positive_rev_summary",
+                       "allowed_value_checks", "repayment_delinquency_consistency"]
+
+
+def _model_cte(model: str) -> str:
+    return summary_cte(DATA_SPINE, inject=True) if model == "customer_summary" else srs_cte(inject=True)
+
+
+def audit_queries() -> dict[str, str]:
+    q = {}
+    for name, (model, pred) in AUDIT_SQL.items():
+        q[f"audit_rows_{name}"] = _with(_model_cte(model), f"SELECT * FROM {model} WHERE {pred}")
+    for key, model, order in (("audit_counts_customer", "customer_summary", CUSTOMER_COUNT_ORDER),
+                              ("audit_counts_revenue", "subscription_revenue_summary",
+                               REVENUE_COUNT_ORDER)):
+        cols = ",\n  ".join(
+            f"CAST(count(*) FILTER (WHERE {AUDIT_SQL[n][1]}) AS BIGINT) AS {n}" for n in order)
+        q[key] = _with(_model_cte(model), f"SELECT\n  {cols}\nFROM {model}")
     return q
