@@ -19,6 +19,7 @@ DEFAULT_SPINE_END = dt.date(2024, 12, 1)
 
 # Wire form of event timestamps, ISO text plus " UTC".
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss' UTC'"
+WIRE_TIMESTAMP_FRACTION_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS' UTC'"
 MONTH_YEAR_FORMAT = "yyyy-MM"
 
 
@@ -46,8 +47,11 @@ def month_year(d) -> Column:
 
 
 def to_wire_text(ts) -> Column:
-    """Timestamp -> 'YYYY-MM-DDTHH:MM:SS UTC' text as published on the topics."""
-    return F.date_format(_col(ts), WIRE_TIMESTAMP_FORMAT)
+    """Timestamp -> ISO text + ' UTC' as published on the topics; microseconds
+    are written only when there are any (as Python's isoformat does)."""
+    c = _col(ts)
+    return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, WIRE_TIMESTAMP_FORMAT)
+                  ).otherwise(F.date_format(c, WIRE_TIMESTAMP_FRACTION_FORMAT))
 
 
 def parse_event_time(text) -> Column:

@@ -12,14 +12,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
 
-from ledgerline.functions import timefns
-from ledgerline.operators import audits, rollups, spine
-from ledgerline.plans.customer_summary import customer_month_slice, customer_summary
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.functions import derive, timefns
+from ledgerline.operators import audits, dedup, lookups, rollups, spine
+from ledgerline.plans import materialize
+from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_month_slice, customer_summary
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
-from ledgerline.session import ensure_utc
+from ledgerline.session import ensure_utc, work_dir
 from ledgerline.sources import feeds as feedmod
+from ledgerline.sources import json_events, schemas
+from ledgerline.streaming import ingest as stream_ingest
 
 DATA_SPINE = (dt.date(1995, 1, 1), dt.date(2024, 12, 1))
 REF_SPINE = (timefns.DEFAULT_SPINE_START, timefns.DEFAULT_SPINE_END)
@@ -165,3 +171,141 @@ def _register_audit_rows(audit):
 
 for _a in audits.AUDITS.values():
     _register_audit_rows(_a)
+
+
+# --- ingest, replay, streaming, materialization --------------------------------
+
+def _json_ingest(spark, sf_dir):
+    sub = feedmod.subscription_feed(spark, sf_dir)
+    enc = json_events.encode_events(sub, schemas.SUBSCRIPTION,
+                                    keep=[F.col("subscription_id").cast("bigint").alias("_k")])
+    msgs = json_events.corrupt_by_rule(enc, F.col("_k")).select("value")
+    return json_events.split_valid(json_events.decode_events(msgs, schemas.SUBSCRIPTION),
+                                   schemas.SUBSCRIPTION)
+
+
+@query("json_ingest_valid")
+def q_json_valid(spark, sf_dir):
+    """Subscription events -> JSON text (some damaged by rule) -> decode -> valid rows."""
+    return _json_ingest(spark, sf_dir)[0]
+
+
+@query("json_ingest_rejects")
+def q_json_rejects(spark, sf_dir):
+    """Same input: rejected messages with their event id and reason."""
+    rejects = _json_ingest(spark, sf_dir)[1]
+    return rejects.select(json_events.message_key("raw").alias("subscription_id"), "reason")
+
+
+@query("replay_dedup")
+def q_replay_dedup(spark, sf_dir):
+    """Revenue topic read twice from offset zero (JSON), decoded, de-duplicated by event id."""
+    rev = feedmod.revenue_feed(spark, sf_dir)
+    msgs = json_events.encode_events(rev, schemas.REVENUE)
+    valid, _ = json_events.split_valid(
+        json_events.decode_events(msgs.unionByName(msgs), schemas.REVENUE), schemas.REVENUE)
+    return dedup.dedup_by_key(valid, [schemas.REVENUE.pk])
+
+
+@query("stream_ingest_roundtrip")
+def q_stream_roundtrip(spark, sf_dir):
+    """All four topics as JSON files -> four concurrent streaming ingests (availableNow)
+    -> raw tables; returns the engagement table read back."""
+    root = work_dir(spark, "ingest")
+    sources = {}
+    for name, feed in schemas.FEEDS.items():
+        landing = f"{root}/landing/{feed.topic}"
+        json_events.encode_events(feedmod.FEED_BUILDERS[name](spark, sf_dir), feed) \
+            .write.mode("overwrite").text(landing)
+        sources[feed.topic] = stream_ingest.file_source(spark, landing)
+    paths = stream_ingest.run_ingest(sources, root, available_now=True)
+    return stream_ingest.read_raw_table(spark, paths["customer_engagement"], schemas.ENGAGEMENT)
+
+
+@query("restate_month")
+def q_restate_month(spark, sf_dir):
+    """Write customer_summary partitioned by month, restate 1998-06 in place, read back."""
+    feeds = _feeds(spark, sf_dir)
+    path = work_dir(spark, "customer_summary")
+    materialize.write_model(customer_summary(feeds, *DATA_SPINE), path)
+    materialize.restate_customer_summary(feeds, path, dt.date(1998, 6, 1), dt.date(1998, 6, 1))
+    model_cols = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]
+    return spark.read.parquet(path).select(*model_cols)
+
+
+# --- derived-column rules, lookups -------------------------------------------------
+
+def _u_from(col: str) -> Column:
+    """A [0, 1) input in 0.01 steps from a 1..100 score column."""
+    return (F.col(col) - 1).cast("decimal(10,0)") * F.lit(Decimal("0.01"))
+
+
+@query("derived_subscription")
+def q_derived_sub(spark, sf_dir):
+    """Annualize, plan branch, season class and multiplier, clip, per subscription event."""
+    s = feedmod.subscription_feed(spark, sf_dir)
+    u = _u_from("bank_connection_quality")
+    m = F.month("event_time")
+    return s.select(
+        "subscription_id",
+        derive.annualize("subscription_amount").cast("decimal(38,9)").alias("annualized"),
+        derive.plan_monthly_amount("subscription_plan", u).cast("decimal(38,9)").alias("plan_amount"),
+        derive.season_class(m).alias("season"),
+        derive.season_multiplier(m, u).cast("decimal(38,9)").alias("season_multiplier"),
+        derive.clip("growth_rate", Decimal("-0.5"), Decimal("0.5")).cast("decimal(38,9)")
+        .alias("clipped_growth_rate"),
+        derive.plan_payment_log_mean("subscription_plan").alias("payment_log_mean"),
+    )
+
+
+@query("derived_revenue")
+def q_derived_rev(spark, sf_dir):
+    """Due date, wire text, season class and delinquency rule per revenue event."""
+    r = feedmod.revenue_feed(spark, sf_dir).where(F.col("payment_method").isNotNull())
+    return r.select(
+        "revenue_id",
+        derive.due_date("event_time").alias("due_date_rule"),
+        timefns.to_wire_text("event_time").alias("event_time_text"),
+        derive.season_class(F.month("event_time")).alias("season"),
+        derive.delinquency("repayment_status", F.col("capital_utilization")).alias("delinquency_rule"),
+    )
+
+
+@query("derived_churn")
+def q_derived_churn(spark, sf_dir):
+    """Churn score and the high-risk default per churn event."""
+    c = feedmod.churn_feed(spark, sf_dir)
+    score = derive.churn_score(F.lit(Decimal("0.45")), "support_ticket_count",
+                               "usage_drop_percentage", "satisfaction_score")
+    return c.select(
+        "churn_event_id",
+        score.alias("churn_score_rule"),
+        derive.high_risk_default(score, F.lit("other"), F.lit("none")).alias("reason_rule"),
+    )
+
+
+@query("derived_engagement")
+def q_derived_eng(spark, sf_dir):
+    """Zero-guarded conversion rate and clipped score per engagement event."""
+    e = feedmod.engagement_feed(spark, sf_dir)
+    return e.select(
+        "engagement_id",
+        derive.guarded_rate("financing_inquiries", "financing_conversion_rate").alias("guarded_rate_rule"),
+        derive.clip("engagement_score", 10, 90).cast("bigint").alias("clipped_score"),
+    )
+
+
+@query("profile_lookup")
+def q_profile_lookup(spark, sf_dir):
+    """Revenue events with the user's profile attached (size-checked broadcast)."""
+    rev = feedmod.revenue_feed(spark, sf_dir).select("revenue_id", "user_id", "payment_amount")
+    return lookups.lookup_profiles(rev, feedmod.user_profiles(spark, sf_dir))
+
+
+@query("cohort_month")
+def q_cohort_month(spark, sf_dir):
+    """Calendar rows (users x model months) that are a churn user's churn month."""
+    f = _feeds(spark, sf_dir)
+    cal = spine.calendar(spine.distinct_users(f), *REF_SPINE)
+    cohort = rollups.with_month(f["churn"].select("user_id", "event_time"))
+    return lookups.in_cohort(cal, cohort, ["user_id", "year", "month"])

@@ -58,8 +58,9 @@ def _fill(joined: DataFrame) -> DataFrame:
     )
 
 
-def _star(feeds: dict[str, DataFrame], start: dt.date, end: dt.date) -> DataFrame:
-    cal = spine.calendar(spine.distinct_users(feeds), start, end)
+def _star(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
+          users: DataFrame | None = None) -> DataFrame:
+    cal = spine.calendar(users if users is not None else spine.distinct_users(feeds), start, end)
     parts = [
         rollups.agg_sub(feeds["subscription"]),
         rollups.agg_rev(feeds["revenue"]),
@@ -69,7 +70,8 @@ def _star(feeds: dict[str, DataFrame], start: dt.date, end: dt.date) -> DataFram
     return reduce(lambda acc, part: acc.join(part, MONTH_KEYS, "left"), parts, cal)
 
 
-def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date) -> DataFrame:
+def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
+             users: DataFrame | None = None) -> DataFrame:
     needed = {
         "s": (feeds["subscription"], ["subscription_id", "subscription_plan", "region", "user_segment",
                                       "growth_rate", "annualized_revenue", "customer_growth_rate"]),
@@ -101,8 +103,9 @@ def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date) -> DataF
     picks.update({c: f"_pr.{c}" for c in rollups.REV_PICKS})
     picks.update({c: f"_pc.{c}" for c in rollups.CHURN_PICKS})
     agg = agg.select(*MONTH_KEYS, *[F.col(picks.get(c, c)).alias(c) for c, _ in OUTPUT_COLUMNS])
-    cal = spine.calendar(agg.select("user_id").distinct(), start, end)
-    return cal.join(agg, MONTH_KEYS, "left")
+    if users is None:
+        users = agg.select("user_id").distinct()
+    return spine.calendar(users, start, end).join(agg, MONTH_KEYS, "left")
 
 
 def customer_summary(
@@ -111,15 +114,18 @@ def customer_summary(
     spine_end: dt.date = timefns.DEFAULT_SPINE_END,
     form: str = "star",
     sort: bool = False,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Build the model from the four feeds.
 
+    ``users`` overrides the user list (default: every user of the feeds);
+    month-range restatement passes the full list with range-cut feeds.
     ``sort=True`` adds the model's global ORDER BY (a range shuffle); tables
     keep no order, so writers use ``plans.materialize`` instead, which
     clusters and sorts within files.
     """
     builders = {"star": _star, "stacked": _stacked}
-    out = _fill(builders[form](feeds, spine_start, spine_end))
+    out = _fill(builders[form](feeds, spine_start, spine_end, users))
     return out.orderBy(*SORT_KEYS) if sort else out
 
 

@@ -227,3 +227,17 @@ FEED_BUILDERS = {
 def load_feeds(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> dict[str, DataFrame]:
     """All four feeds as lazily evaluated DataFrames (nothing is computed here)."""
     return {name: build(spark, sf_dir, inject_violations) for name, build in FEED_BUILDERS.items()}
+
+
+def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user profile: region, segment and default plan (one row per customer)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
+    return c.join(bounded_broadcast(geo, GEO_MAX_ROWS), c.c_nationkey == geo.n_nationkey).select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("r_name").alias("region"),
+        F.col("c_mktsegment").alias("user_segment"),
+        _pick(["basic", "pro", "enterprise"], F.col("c_custkey") % 3).alias("default_plan"),
+    )

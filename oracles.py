@@ -421,6 +421,7 @@ CROSS JOIN unnest(generate_series(b.f, b.l, INTERVAL 1 DAY)) AS s(d)""")
         key = {"rev_ts": "rev_by_timestamp", "sub_ts": "sub_by_timestamp"}[name]
         q[key] = _with(",".join([feeds_cte(), ts_ctes()]), f"SELECT * FROM {name}")
     q.update(audit_queries())
+    q.update(more_queries())
     return q
 
 
@@ -489,3 +490,69 @@ def audit_queries() -> dict[str, str]:
             f"CAST(count(*) FILTER (WHERE {AUDIT_SQL[n][1]}) AS BIGINT) AS {n}" for n in order)
         q[key] = _with(_model_cte(model), f"SELECT\n  {cols}\nFROM {model}")
     return q
+
+
+# --- ingest, replay, streaming, restate, derived rules, lookups -----------------
+
+def _season(month: str) -> str:
+    return (f"CASE WHEN {month} IN (11, 12) THEN 'holiday' WHEN {month} IN (6, 7, 8) THEN 'summer' "
+            f"ELSE 'regular' END")
+
+
+def more_queries() -> dict[str, str]:
+    q = {}
+    f = feeds_cte()
+    q["json_ingest_valid"] = _with(
+        f, "SELECT * FROM sub WHERE CAST(subscription_id AS BIGINT) % 997 NOT IN (1, 2, 3, 4, 5)")
+    q["json_ingest_rejects"] = _with(f, """SELECT subscription_id,
+  CASE CAST(subscription_id AS BIGINT) % 997 WHEN 2 THEN 'missing:user_id'
+       WHEN 5 THEN 'bad_timestamp:event_time' ELSE 'malformed' END AS reason
+FROM sub WHERE CAST(subscription_id AS BIGINT) % 997 IN (1, 2, 3, 4, 5)""")
+    q["replay_dedup"] = _with(f, "SELECT * FROM rev")
+    q["stream_ingest_roundtrip"] = _with(f, "SELECT * FROM eng")
+    q["restate_month"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
+    q["derived_subscription"] = _with(f, f"""SELECT subscription_id,
+  CAST(round(CAST(subscription_amount AS DECIMAL(18,2)) * 12, 2) AS DECIMAL(38,9)) AS annualized,
+  CAST(CASE subscription_plan WHEN 'enterprise' THEN 7000 + u * 5000
+                              WHEN 'pro' THEN 3000 + u * 5000
+                              ELSE 500 + u * 3500 END AS DECIMAL(38,9)) AS plan_amount,
+  {_season('m')} AS season,
+  CAST(CASE WHEN m IN (11, 12) THEN 1.2 + u * 0.4 WHEN m IN (6, 7, 8) THEN 0.6 + u * 0.3
+            ELSE 0.8 + u * 0.4 END AS DECIMAL(38,9)) AS season_multiplier,
+  CAST(greatest(-0.5, least(growth_rate, 0.5)) AS DECIMAL(38,9)) AS clipped_growth_rate,
+  CASE subscription_plan WHEN 'enterprise' THEN 9 WHEN 'pro' THEN 8 ELSE 7 END AS payment_log_mean
+FROM (SELECT *, CAST(bank_connection_quality - 1 AS DECIMAL(10,0)) * 0.01 AS u,
+             CAST(extract(month FROM event_time) AS INTEGER) AS m FROM sub)""")
+    q["derived_revenue"] = _with(f, f"""SELECT revenue_id,
+  event_time + INTERVAL 30 DAY AS due_date_rule,
+  CASE WHEN strftime(event_time, '%f') = '000000' THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S UTC')
+       ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f UTC') END AS event_time_text,
+  {_season('extract(month FROM event_time)')} AS season,
+  CASE WHEN repayment_status = 'delayed'
+       THEN (CASE WHEN capital_utilization THEN 'payment_failure' ELSE 'no_payment' END)
+       ELSE 'no_delinquency' END AS delinquency_rule
+FROM rev WHERE payment_method IS NOT NULL""")
+    q["derived_churn"] = _with(f, """SELECT churn_event_id, score AS churn_score_rule,
+  CASE WHEN score > 0.8 THEN 'other' ELSE 'none' END AS reason_rule
+FROM (SELECT churn_event_id,
+        CAST(round(greatest(0, least(0.45 + support_ticket_count * 0.1
+                                     + CAST(usage_drop_percentage AS DECIMAL(18,2)) * 0.005
+                                     - satisfaction_score * 0.04, 1)), 2) AS DECIMAL(38,9)) AS score
+      FROM churn)""")
+    q["derived_engagement"] = _with(f, """SELECT engagement_id,
+  CAST(CASE WHEN financing_inquiries = 0 THEN 0 ELSE financing_conversion_rate END AS DECIMAL(38,9))
+    AS guarded_rate_rule,
+  CAST(greatest(10, least(engagement_score, 90)) AS BIGINT) AS clipped_score
+FROM eng""")
+    q["profile_lookup"] = _with(f, """SELECT r.user_id, r.revenue_id, r.payment_amount,
+  p.region, p.user_segment, p.default_plan
+FROM rev r LEFT JOIN (
+  SELECT CAST(c.c_custkey AS VARCHAR) AS user_id, rg.r_name AS region, c.c_mktsegment AS user_segment,
+         (['basic', 'pro', 'enterprise'])[c.c_custkey % 3 + 1] AS default_plan
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region rg ON n.n_regionkey = rg.r_regionkey) p ON r.user_id = p.user_id""")
+    q["cohort_month"] = _with(",".join([f, users_cte(), calendar_cte(REF_SPINE)]), """SELECT * FROM calendar c
+WHERE EXISTS (SELECT 1 FROM churn ch WHERE ch.user_id = c.user_id
+              AND CAST(extract(year FROM ch.event_time) AS INTEGER) = c.year
+              AND CAST(extract(month FROM ch.event_time) AS INTEGER) = c.month)""")
+    return q
