@@ -1,0 +1,33 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (SparkSession.builder.master("local[4]")
+         .appName("ledgerline-tests")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.session.timeZone", "UTC")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-test-ckpt-"))
+    yield s
+    s.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_small():
+    return SF_SMALL

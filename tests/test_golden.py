@@ -1,0 +1,83 @@
+"""The two model test cases, corrected as described in FIXTURES.md section 3."""
+
+import datetime as dt
+from decimal import Decimal
+
+from fixtures import CHURN_A, ENG_A, REV_A, REV_B, SUB_A, SUB_B, UID_B, feeds
+
+from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_summary
+from ledgerline.plans.subscription_revenue import subscription_revenue_summary
+
+
+def test_case_a_customer_summary(spark):
+    f = feeds(spark, [SUB_A], [REV_A], [CHURN_A], [ENG_A])
+    for form in ("star", "stacked"):
+        rows = customer_summary(f, form=form).collect()
+        assert len(rows) == 84
+        jan = [r for r in rows if (r.year, r.month) == (2024, 1)]
+        assert len(jan) == 1
+        r = jan[0].asDict()
+        assert r["month_year"] == "2024-01"
+        assert (r["subscription_plan"], r["region"], r["user_segment"]) == ("pro", "North America", "SMB")
+        assert r["avg_growth_rate"] == 0.5
+        assert r["total_annualized_revenue"] == Decimal("24000")
+        assert r["avg_customer_growth_rate"] == 0.1
+        assert r["total_payment_amount"] == Decimal("5000")
+        assert r["avg_revenue_stability_score"] == 90.0
+        assert r["total_advance_amount"] == Decimal("10000")
+        assert (r["repayment_status"], r["revenue_trend"], r["payment_delinquency"]) == (
+            "on_track", "stable", "no_delinquency")
+        assert r["avg_revenue_volatility"] == 0.2
+        assert r["avg_churn_risk"] == 0.3
+        assert (r["avg_customer_tenure"], r["avg_last_activity_gap"]) == (200.0, 10.0)
+        assert r["total_support_ticket_count"] == 1
+        assert r["avg_usage_drop_percentage"] == 10.0
+        assert r["avg_satisfaction_score"] == 8.0
+        assert r["cancellation_reason"] == "N/A"
+        assert r["capital_withdrawal_flag"] is False
+        assert r["avg_engagement_score"] == 75.0
+        assert r["avg_session_duration"] == 30.0
+        assert (r["total_login_count"], r["total_financing_inquiries"],
+                r["total_feature_interaction_count"], r["total_capital_access_count"]) == (3, 1, 2, 0)
+        for other in (x.asDict() for x in rows if (x.year, x.month) != (2024, 1)):
+            for c, fill in OUTPUT_COLUMNS:
+                assert other[c] == fill, (c, other[c])
+
+
+def test_case_a_subscription_revenue(spark):
+    f = feeds(spark, [SUB_A], [REV_A], [CHURN_A], [ENG_A])
+    rows = subscription_revenue_summary(f).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert r.event_date == dt.datetime(2024, 1, 20)
+    assert (r.year, r.month, r.month_year) == (2024, 1, "2024-01")
+    assert r.total_annualized_revenue == Decimal("24000")
+    assert r.total_payment_amount == Decimal("5000")
+    assert r.total_advance_amount == Decimal("10000")
+    assert r.capital_utilization is False and r.capital_offer_accepted is True
+
+
+def test_case_b(spark):
+    f = feeds(spark, [SUB_B], [REV_B])
+    rows = subscription_revenue_summary(f).collect()
+    assert len(rows) == 1
+    r = rows[0].asDict()
+    assert r["user_id"] == UID_B
+    assert r["event_date"] == dt.datetime(2025, 2, 19)
+    assert (r["year"], r["month"], r["month_year"]) == (2025, 2, "2025-02")
+    assert (r["subscription_plan"], r["region"], r["user_segment"]) == (
+        "enterprise", "North America", "Enterprise")
+    assert r["avg_growth_rate"] == 0.75
+    assert r["total_annualized_revenue"] == Decimal("14400")
+    assert r["avg_customer_growth_rate"] == 0.8
+    assert r["total_payment_amount"] == Decimal("1200")
+    assert r["avg_revenue_stability_score"] == 85.0
+    assert r["total_advance_amount"] == Decimal("0")
+    assert (r["repayment_status"], r["revenue_trend"], r["payment_delinquency"]) == (
+        "on_track", "stable", "no_delinquency")
+    assert r["avg_revenue_volatility"] == 0.1
+    assert r["capital_utilization"] is False and r["capital_offer_accepted"] is False
+    # The event is after the grid's last month: 84 filler rows only.
+    grid = customer_summary(f).collect()
+    assert len(grid) == 84
+    assert all(x.subscription_plan == "N/A" and x.total_payment_amount == 0 for x in grid)
