@@ -27,9 +27,19 @@ def distinct_users(feeds: dict[str, DataFrame]) -> DataFrame:
 def calendar(users: DataFrame,
              start: dt.date = timefns.DEFAULT_SPINE_START,
              end: dt.date = timefns.DEFAULT_SPINE_END) -> DataFrame:
-    """users x months in [start, end] -> user_id, year, month, month_year."""
+    """users x months in [start, end] -> user_id, year, month, month_year.
+
+    The user list is small next to the grid it expands into (one row per
+    month), so AQE would coalesce its shuffle to very few partitions and the
+    explode would then run in those few tasks. Spreading the users round-robin
+    over ``spark.sql.shuffle.partitions`` first (an explicit count, which AQE
+    keeps; a hash on user_id would be folded into the distinct's own shuffle)
+    runs the expansion in all tasks.
+    """
+    n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        users.select("user_id", F.explode(timefns.month_sequence(start, end)).alias("d"))
+        users.repartition(n)
+        .select("user_id", F.explode(timefns.month_sequence(start, end)).alias("d"))
         .select(
             "user_id",
             F.year("d").alias("year"),
