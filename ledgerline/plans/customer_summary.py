@@ -9,11 +9,18 @@ Two plan shapes give the same rows:
 * ``star``: the model as written - four monthly roll-ups, each left-joined to
   the calendar. All joins use the same keys, so after the calendar is
   shuffled once on (user_id, year, month) each roll-up only shuffles itself.
-* ``stacked``: the four feeds are tagged and unioned, then rolled up by one
-  aggregate; the user list is read off that aggregate's keys (grouping never
-  loses a user), and one left join attaches it to the calendar. Fewer
-  exchanges and scans, but every row goes through the aggregate that holds
-  the string picks.
+* ``stacked``: the three feeds that need ANY_VALUE picks (subscription,
+  revenue, churn) are tagged, unioned and rolled up by one aggregate;
+  engagement - by far the largest feed, without picks - keeps its own hash
+  aggregate. Two roll-up shuffles instead of four and two joins over the
+  grid instead of four, with the engagement rows never passing through the
+  sort-based aggregate that string picks need.
+
+In both shapes the user list is a distinct over the raw feeds' user_id
+column alone: a one-column scan with a per-task partial distinct. (Reading
+it off the roll-ups does not save that scan: Catalyst prunes the copy of the
+roll-up that feeds the user list down to a bare key distinct, so the two
+subtrees differ and no shuffle is reused.)
 
 Neither shape broadcasts anything that grows with the data; AQE may still
 turn a join into a broadcast at runtime when a side measures small.
@@ -60,13 +67,13 @@ def _fill(joined: DataFrame) -> DataFrame:
 
 def _star(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
           users: DataFrame | None = None) -> DataFrame:
-    cal = spine.calendar(users if users is not None else spine.distinct_users(feeds), start, end)
     parts = [
         rollups.agg_sub(feeds["subscription"]),
         rollups.agg_rev(feeds["revenue"]),
         rollups.agg_churn(feeds["churn"]),
         rollups.agg_engage(feeds["engagement"]),
     ]
+    cal = spine.calendar(users if users is not None else spine.distinct_users(feeds), start, end)
     return reduce(lambda acc, part: acc.join(part, MONTH_KEYS, "left"), parts, cal)
 
 
@@ -82,9 +89,6 @@ def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
                                "last_activity_gap_days", "support_ticket_count",
                                "usage_drop_percentage", "satisfaction_score",
                                "cancellation_reason", "capital_withdrawal_flag"]),
-        "e": (feeds["engagement"], ["engagement_score", "session_duration", "login_count",
-                                    "financing_inquiries", "feature_interaction_count",
-                                    "capital_access_count"]),
     }
     tagged = [
         rollups.with_month(df.select("user_id", "event_time", *cols)).withColumn("_feed", F.lit(tag))
@@ -92,20 +96,20 @@ def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     feed = F.col("_feed")
-    agg = stacked.groupBy(*MONTH_KEYS).agg(
+    picked = stacked.groupBy(*MONTH_KEYS).agg(
         pick_struct(rollups.SUB_PICKS, ["event_time", "subscription_id"], when=feed == "s").alias("_ps"),
         pick_struct(rollups.REV_PICKS, ["event_time", "revenue_id"], when=feed == "r").alias("_pr"),
         pick_struct(rollups.CHURN_PICKS, ["event_time", "churn_event_id"], when=feed == "c").alias("_pc"),
-        *rollups.sub_measures(), *rollups.rev_measures(),
-        *rollups.churn_measures(), *rollups.engage_measures(),
+        *rollups.sub_measures(), *rollups.rev_measures(), *rollups.churn_measures(),
     )
     picks = {c: f"_ps.{c}" for c in rollups.SUB_PICKS}
     picks.update({c: f"_pr.{c}" for c in rollups.REV_PICKS})
     picks.update({c: f"_pc.{c}" for c in rollups.CHURN_PICKS})
-    agg = agg.select(*MONTH_KEYS, *[F.col(picks.get(c, c)).alias(c) for c, _ in OUTPUT_COLUMNS])
-    if users is None:
-        users = agg.select("user_id").distinct()
-    return spine.calendar(users, start, end).join(agg, MONTH_KEYS, "left")
+    stacked_cols = rollups.SUB_COLUMNS + rollups.REV_COLUMNS + rollups.CHURN_COLUMNS
+    picked = picked.select(*MONTH_KEYS, *[F.col(picks.get(c, c)).alias(c) for c in stacked_cols])
+    engaged = rollups.agg_engage(feeds["engagement"])
+    cal = spine.calendar(users if users is not None else spine.distinct_users(feeds), start, end)
+    return cal.join(picked, MONTH_KEYS, "left").join(engaged, MONTH_KEYS, "left")
 
 
 def customer_summary(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import derive
 from ledgerline.sources import schemas
-from ledgerline.sources.tables import bounded_broadcast, read_table
+from ledgerline.sources.tables import bounded_broadcast, read_table, spread_narrow_scan
 
 # nation and region are fixed-size dimensions (25 and 5 rows); the bound is
 # checked before they are broadcast.
@@ -49,8 +49,9 @@ def _finish(df: DataFrame, feed: schemas.Feed) -> DataFrame:
 
 
 def subscription_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread_narrow_scan(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+        ["o_orderkey"])
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -89,9 +90,10 @@ def subscription_feed(spark: SparkSession, sf_dir: str, inject_violations: bool
 
 
 def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread_narrow_scan(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
 
@@ -143,8 +145,8 @@ def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = Fal
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+    e = spread_narrow_scan(read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"), ["event_id"])
     return e.withColumn(
         "k", F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0).cast("bigint")))
 

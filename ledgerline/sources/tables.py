@@ -27,3 +27,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread_narrow_scan(df: DataFrame, unique_keys) -> DataFrame:
+    """Spread a scan that has fewer input partitions than the session has cores.
+
+    A fact table stored as very few Parquet row groups is read by that many
+    tasks, however many cores there are, and every per-row step after the
+    scan runs in them. When the scan is that narrow, rows are hash-partitioned
+    on a unique row key (each key holds one row, so no key can be hot) across
+    ``defaultParallelism`` partitions. Scans with at least that many input
+    partitions - any large table on a cluster - are returned unchanged, so no
+    raw-data shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *unique_keys)
