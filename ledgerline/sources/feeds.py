@@ -45,7 +45,8 @@ def _d(x: str) -> Column:
 
 
 def _finish(df: DataFrame, feed: schemas.Feed) -> DataFrame:
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t, _ in feed.fields])
+    """Exactly the feed's columns and types (one projection)."""
+    return df.selectExpr(*[f"CAST(`{c}` AS {t.simpleString()}) AS `{c}`" for c, t, _ in feed.fields])
 
 
 def subscription_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:

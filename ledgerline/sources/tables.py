@@ -16,6 +16,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_BOUND_CHECKS: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
 
@@ -23,10 +26,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     a large input. Above the bound the frame is returned as is and the join
     falls back to a shuffle join (AQE may still broadcast it at runtime if its
     measured size is under ``spark.sql.autoBroadcastJoinThreshold``).
+
+    The outcome is remembered per (plan, input files, bound): Parquet files
+    are immutable, so the same plan over the same files has the same rows;
+    any added or replaced file changes the key and the count runs again.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _BOUND_CHECKS:
+        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _BOUND_CHECKS[key] else df
 
 
 def spread_narrow_scan(df: DataFrame, unique_keys) -> DataFrame:
