@@ -1,0 +1,46 @@
+"""Property tests of the per-row rules against plain Python on random rows."""
+
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerline.functions import derive
+
+rows = st.lists(st.tuples(
+    st.integers(20, 70),        # base, hundredths
+    st.integers(0, 5),          # tickets
+    st.integers(0, 10000),      # usage drop, hundredths
+    st.integers(1, 10),         # satisfaction
+    st.integers(1, 12),         # month
+    st.sampled_from(["on_track", "delayed", "completed"]),
+    st.booleans(),
+), min_size=1, max_size=40)
+
+
+def _score(base, tickets, drop, sat):
+    v = Decimal(base) / 100 + Decimal(tickets) / 10 + Decimal(drop) / 100 / 200 - Decimal(sat) / 25
+    v = min(max(v, Decimal(0)), Decimal(1))
+    return v.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows)
+def test_rules_match_python(spark, data):
+    df = spark.createDataFrame(data, "base int, tickets int, drop int, sat int, month int, "
+                                     "status string, failed boolean")
+    out = df.select(
+        derive.churn_score(F.col("base") / 100, "tickets", F.col("drop") / 100, "sat").alias("score"),
+        derive.season_class("month").alias("season"),
+        derive.delinquency("status", "failed").alias("delinq"),
+        derive.clip("sat", 3, 8).alias("clipped"),
+        derive.guarded_rate("tickets", F.lit(Decimal("0.25"))).alias("rate"),
+    ).collect()
+    for (base, tickets, drop, sat, month, status, failed), r in zip(data, out):
+        assert r.score == _score(base, tickets, drop, sat)
+        assert r.season == ("holiday" if month in (11, 12) else "summer" if month in (6, 7, 8) else "regular")
+        assert r.delinq == (("payment_failure" if failed else "no_payment") if status == "delayed"
+                            else "no_delinquency")
+        assert r.clipped == max(3, min(sat, 8))
+        assert r.rate == (Decimal(0) if tickets == 0 else Decimal("0.25"))
