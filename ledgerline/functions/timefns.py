@@ -69,6 +69,27 @@ def month_sequence(start, end) -> Column:
     return F.sequence(_lit_date(start), _lit_date(end), F.expr("INTERVAL 1 MONTH"))
 
 
+def month_rows(start, end) -> Column:
+    """The months of [start, end] as a constant array of (year, month, month_year).
+
+    Built from the bounds as literals, so Catalyst folds it into a single
+    constant and exploding it per user copies precomputed values instead of
+    evaluating year/month/date_format once per grid row.
+    """
+    first, last = month_start(_as_date(start)), month_start(_as_date(end))
+    items = []
+    d = first
+    while d <= last:
+        items.append(F.struct(F.lit(d.year).alias("year"), F.lit(d.month).alias("month"),
+                              F.lit(f"{d.year:04d}-{d.month:02d}").alias("month_year")))
+        d = next_month(d)
+    return F.array(*items)
+
+
+def _as_date(d) -> dt.date:
+    return dt.date.fromisoformat(d) if isinstance(d, str) else d
+
+
 def day_sequence(start, end) -> Column:
     """Every day from start to end, both ends included."""
     return F.sequence(_lit_date(start), _lit_date(end), F.expr("INTERVAL 1 DAY"))

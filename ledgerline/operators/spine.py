@@ -2,8 +2,8 @@
 
 * ``distinct_users``: every user seen in any feed (UNION DISTINCT).
 * ``calendar``: users x months with year, month and 'yyyy-MM' text. The month
-  list is a literal ``sequence`` folded to one constant array, exploded per
-  user, so this is a per-row generate, not a cross join.
+  list is a constant array (folded at planning), exploded per user, so this
+  is a per-row generate, not a cross join.
 * ``day_spine``: per user, every day from the first to the last active day.
 """
 
@@ -37,16 +37,7 @@ def calendar(users: DataFrame,
     runs the expansion in all tasks.
     """
     n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        users.repartition(n)
-        .select("user_id", F.explode(timefns.month_sequence(start, end)).alias("d"))
-        .select(
-            "user_id",
-            F.year("d").alias("year"),
-            F.month("d").alias("month"),
-            timefns.month_year("d").alias("month_year"),
-        )
-    )
+    return users.repartition(n).select("user_id", F.inline(timefns.month_rows(start, end)))
 
 
 def day_spine(events: DataFrame) -> DataFrame:
