@@ -8,6 +8,7 @@ feeds, never each other, so they can be built in any order.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -55,3 +56,16 @@ def build(feeds: dict[str, DataFrame], out_root: str, names=None) -> dict[str, D
         stored = df.sparkSession.read.parquet(path)
         results[name] = audits.audit_counts(stored, model.audits)
     return results
+
+
+RESTATERS = {
+    "customer_summary": materialize.restate_customer_summary,
+    "subscription_revenue_summary": materialize.restate_subscription_revenue,
+}
+
+
+def restate(name: str, feeds: dict[str, DataFrame], out_root: str,
+            first_month: dt.date, last_month: dt.date) -> None:
+    """Recompute one model for [first_month, last_month] and replace just those
+    (year, month) partitions of its table under ``out_root/<name>``."""
+    RESTATERS[name](feeds, f"{out_root.rstrip('/')}/{name}", first_month, last_month)

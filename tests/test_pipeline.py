@@ -121,3 +121,16 @@ def test_ingest_then_build_end_to_end(spark, sf_small):
     built = spark.read.parquet(f"{root}/models/customer_summary").select(*direct.columns)
     assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
     assert res["customer_summary"].first()["key_dimensions_not_null"] == 0
+
+
+def test_restate_model2_months(spark, sf_small):
+    from ledgerline.plans import registry
+    from ledgerline.plans.subscription_revenue import subscription_revenue_summary
+
+    out = work_dir(spark, "test-restate2")
+    f = load_feeds(spark, sf_small)
+    registry.build(f, out, names=["subscription_revenue_summary"])
+    registry.restate("subscription_revenue_summary", f, out, dt.date(1997, 1, 1), dt.date(1997, 6, 1))
+    full = subscription_revenue_summary(f)
+    back = spark.read.parquet(f"{out}/subscription_revenue_summary").select(*full.columns)
+    assert back.exceptAll(full).count() == 0 and full.exceptAll(back).count() == 0
