@@ -116,12 +116,14 @@ def customer_summary(
     feeds: dict[str, DataFrame],
     spine_start: dt.date = timefns.DEFAULT_SPINE_START,
     spine_end: dt.date = timefns.DEFAULT_SPINE_END,
-    form: str = "star",
+    form: str = "stacked",
     sort: bool = False,
     users: DataFrame | None = None,
 ) -> DataFrame:
     """Build the model from the four feeds.
 
+    ``form`` picks the plan shape ("stacked", the default, or "star"); both
+    return the same rows.
     ``users`` overrides the user list (default: every user of the feeds);
     month-range restatement passes the full list with range-cut feeds.
     ``sort=True`` adds the model's global ORDER BY (a range shuffle); tables

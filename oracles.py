@@ -392,6 +392,7 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["customer_summary"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
     q["customer_summary_stacked"] = q["customer_summary"]
+    q["customer_summary_star"] = q["customer_summary"]
     q["customer_summary_reference_spine"] = _with(summary_cte(REF_SPINE), "SELECT * FROM customer_summary")
     q["summary_sorted"] = _with(summary_cte(DATA_SPINE),
                                 "SELECT * FROM customer_summary ORDER BY user_id, year, month, month_year")
