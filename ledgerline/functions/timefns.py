@@ -76,6 +76,10 @@ def month_rows(start, end) -> Column:
     constant and exploding it per user copies precomputed values instead of
     evaluating year/month/date_format once per grid row.
     """
+    if isinstance(start, Column) or isinstance(end, Column):
+        # Bounds known only at run time: compute the fields per element.
+        return F.transform(month_sequence(start, end), lambda d: F.struct(
+            F.year(d).alias("year"), F.month(d).alias("month"), month_year(d).alias("month_year")))
     first, last = month_start(_as_date(start)), month_start(_as_date(end))
     items = []
     d = first

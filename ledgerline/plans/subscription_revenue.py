@@ -19,7 +19,6 @@ one side are dropped by the inner join.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerline.functions.picks import pick_struct, unpack
 from ledgerline.functions.timefns import day_of, month_of, month_year, year_of
