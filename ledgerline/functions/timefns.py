@@ -77,8 +77,9 @@ def month_rows(start, end) -> Column:
     evaluating year/month/date_format once per grid row.
     """
     if isinstance(start, Column) or isinstance(end, Column):
-        # Bounds known only at run time: compute the fields per element.
-        return F.transform(month_sequence(start, end), lambda d: F.struct(
+        # Bounds known only at run time: whole months, fields per element.
+        first_c, last_c = F.trunc(_lit_date(start), "month"), F.trunc(_lit_date(end), "month")
+        return F.transform(month_sequence(first_c, last_c), lambda d: F.struct(
             F.year(d).alias("year"), F.month(d).alias("month"), month_year(d).alias("month_year")))
     first, last = month_start(_as_date(start)), month_start(_as_date(end))
     items = []

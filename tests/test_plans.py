@@ -102,3 +102,17 @@ def test_model2_matches_brute_force_under_skew(spark):
     for k, (plan, annual, pay) in want.items():
         g = got[k]
         assert g[0] == plan and g[1] == annual and g[2] == pay, k
+
+
+def test_calendar_with_run_time_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import spine
+
+    users = spark.createDataFrame([("a",), ("b",)], "user_id string")
+    lit = spine.calendar(users, dt.date(2023, 11, 1), dt.date(2024, 2, 1))
+    run_time = spine.calendar(users, F.to_date(F.lit("2023-11-15")), F.to_date(F.lit("2024-02-01")))
+    assert lit.count() == 8
+    assert lit.exceptAll(run_time).count() == 0 and run_time.exceptAll(lit).count() == 0
+    assert sorted(r.month_year for r in lit.where("user_id = 'a'").collect()) == [
+        "2023-11", "2023-12", "2024-01", "2024-02"]
