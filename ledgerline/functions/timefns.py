@@ -85,10 +85,11 @@ def month_rows(start, end) -> Column:
     items = []
     d = first
     while d <= last:
-        items.append(F.struct(F.lit(d.year).alias("year"), F.lit(d.month).alias("month"),
-                              F.lit(f"{d.year:04d}-{d.month:02d}").alias("month_year")))
+        items.append(f"named_struct('year', {d.year}, 'month', {d.month}, "
+                     f"'month_year', '{d.year:04d}-{d.month:02d}')")
         d = next_month(d)
-    return F.array(*items)
+    # One SQL expression (a single call into the JVM), folded to a constant.
+    return F.expr(f"array({', '.join(items)})")
 
 
 def _as_date(d) -> dt.date:
