@@ -46,8 +46,11 @@ def query(name: str):
     return register
 
 
-def _feeds(spark, sf_dir, inject=False):
-    return feedmod.load_feeds(spark, sf_dir, inject_violations=inject)
+def _feeds(spark, sf_dir, inject=False, names=None):
+    return feedmod.load_feeds(spark, sf_dir, inject_violations=inject, names=names)
+
+
+M2_FEEDS = ("subscription", "revenue")
 
 
 # --- models -----------------------------------------------------------------
@@ -91,7 +94,7 @@ def q_slice(spark, sf_dir):
 @query("subscription_revenue_summary")
 def q_srs(spark, sf_dir):
     """M2: per (user, revenue day) in months with both a subscription and revenue."""
-    return subscription_revenue_summary(_feeds(spark, sf_dir))
+    return subscription_revenue_summary(_feeds(spark, sf_dir, names=M2_FEEDS))
 
 
 # --- model parts --------------------------------------------------------------
@@ -163,7 +166,7 @@ def q_audit_counts_customer(spark, sf_dir):
 @query("audit_counts_revenue")
 def q_audit_counts_revenue(spark, sf_dir):
     """Q6-Q9 on subscription_revenue_summary, one scan, one row."""
-    m = subscription_revenue_summary(_feeds(spark, sf_dir, inject=True))
+    m = subscription_revenue_summary(_feeds(spark, sf_dir, inject=True, names=M2_FEEDS))
     return audits.audit_counts(m, audits.REVENUE_AUDITS)
 
 

@@ -227,9 +227,11 @@ FEED_BUILDERS = {
 }
 
 
-def load_feeds(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> dict[str, DataFrame]:
-    """All four feeds as lazily evaluated DataFrames (nothing is computed here)."""
-    return {name: build(spark, sf_dir, inject_violations) for name, build in FEED_BUILDERS.items()}
+def load_feeds(spark: SparkSession, sf_dir: str, inject_violations: bool = False,
+               names=None) -> dict[str, DataFrame]:
+    """The feeds (all four, or ``names``) as lazily evaluated DataFrames."""
+    return {name: build(spark, sf_dir, inject_violations)
+            for name, build in FEED_BUILDERS.items() if names is None or name in names}
 
 
 def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
