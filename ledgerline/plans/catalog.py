@@ -237,7 +237,8 @@ def q_restate_month(spark, sf_dir):
     feeds = _feeds(spark, sf_dir)
     path = work_dir(spark, "customer_summary")
     materialize.write_model(customer_summary(feeds, *DATA_SPINE), path)
-    materialize.restate_customer_summary(feeds, path, dt.date(1998, 6, 1), dt.date(1998, 6, 1))
+    materialize.restate_customer_summary(feeds, path, dt.date(1998, 6, 1), dt.date(1998, 6, 1),
+                                         spine_start=DATA_SPINE[0], spine_end=DATA_SPINE[1])
     model_cols = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]
     return spark.read.parquet(path).select(*model_cols)
 
