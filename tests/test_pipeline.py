@@ -153,3 +153,15 @@ def test_command_line_ingest_build_restate_audit(spark, sf_small):
           "--model", "customer_summary", "--start", "1996-01-01", "--end", "1996-02-01"], spark=spark)
     audited = main(["audit", "--out", f"{root}/models"], spark=spark)
     assert audited["customer_summary"] == built["customer_summary"]
+
+
+def test_live_ingest_drops_resent_messages(spark, sf_small):
+    root = work_dir(spark, "test-live-dedup")
+    landing = f"{root}/landing/churn"
+    src = churn_feed(spark, sf_small)
+    _land(spark, src, schemas.CHURN, landing)
+    _land(spark, src, schemas.CHURN, landing)  # every message sent twice
+    paths = ingest.run_ingest({"churn": ingest.file_source(spark, landing)}, root, dedup_delay="1 hour")
+    table = ingest.read_raw_table(spark, paths["churn"], schemas.CHURN)
+    assert table.count() == src.count()
+    assert table.exceptAll(src).count() == 0
