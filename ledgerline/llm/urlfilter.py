@@ -98,13 +98,13 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, links: DataFrame | None =
     declared = page_links(pages)
     if links is not None:
         declared = declared.unionByName(links.select("a", "b"))
-    # Urls with the same plain form are one node, so only declared links between different nodes are left to follow.
-    edges = stored(
-        declared.select(plain(F.col("a")).alias("a"), plain(F.col("b")).alias("b")).where("a <> b").distinct(), "url_links")
+    declared = stored(declared.dropna().distinct(), "url_links")
+    # Urls with the same plain form are one node, so only links between different nodes are left to follow.
+    edges = declared.select(plain(F.col("a")).alias("a"), plain(F.col("b")).alias("b")).where("a <> b").distinct()
     component = components(edges).withColumnRenamed("component", "group")
     # What links lead to may be ruled too without being a page itself.
-    targets = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(
-        "node", host_of(F.concat(F.lit("x:"), "node")).alias("host"), path_of(F.concat(F.lit("x:"), "node")).alias("path"))
+    targets = declared.select(F.explode(F.array("a", "b")).alias("url")).distinct().select(
+        plain(F.col("url")).alias("node"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     targets = targets.select("node", ruled(rules, "verdict").alias("said"))
     said = own.select("node", "said").unionByName(targets).groupBy("node").agg(
         F.max(F.col("said") == "allow").alias("allow"), F.max(F.col("said") == "block").alias("block"))

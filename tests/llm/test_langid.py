@@ -1,0 +1,75 @@
+import zlib
+from itertools import product
+
+import numpy as np
+import pandas as pd
+from helpers import no_docs, odd_docs, some_docs
+from pyspark.sql import functions as F
+
+from ledgerline.llm import langid, queries
+
+
+def small():
+    return langid.Pieces(np.array([langid._hash(p) for p in (b"a", b"b", b"c", b"ab", b"bc", b"abc")], np.uint64)), ["a", "b", "c", "ab", "bc", "abc"]
+
+
+def cuts(word):
+    for marks in product((0, 1), repeat=len(word) - 1):
+        out, last = [], 0
+        for i, m in enumerate(marks, 1):
+            if m:
+                out.append(word[last:i])
+                last = i
+        yield [*out, word[last:]]
+
+
+def test_forward_and_expected_counts_against_all_segmentations():
+    pieces, names = small()
+    p = np.random.default_rng(0).dirichlet(np.ones(6), 2).T
+    index, words = pd.Index(pieces.hashes), ["abcab", "aabcc", "cabca"]
+    lattice = langid.Lattice([w.encode() for w in words], index)
+    weights = np.array([[1.0, 0.0], [2.0, 1.0], [0.0, 3.0]])
+    out = np.zeros((2, 6))
+    lattice.expected(p, weights, out)
+    want, total = np.zeros((2, 6)), np.zeros((3, 2))
+    for n, w in enumerate(words):
+        for k in range(2):
+            ways = [(np.prod([p[names.index(x), k] for x in c]), c) for c in cuts(w) if all(x in names for x in c)]
+            total[n, k] = sum(x for x, _ in ways)
+            for x, c in ways:
+                for piece in c:
+                    want[k, names.index(piece)] += weights[n, k] * x / total[n, k]
+    assert np.allclose(lattice.forward(p)[-1], total) and np.allclose(out, want)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = some_docs(spark, sf).set_index("doc_id")
+    got = queries.op3_language_id(spark, sf).toPandas()
+    assert len(got) == len(docs) and set(got["held_out"]) == {True, False}
+    assert all(h == (zlib.crc32(str(d).encode()) % 4 == 2) for d, h in zip(got["doc_id"], got["held_out"]))
+    held = got[got["held_out"]]
+    assert (held["lang_pred"].values == docs.loc[held["doc_id"], "lang"].values).mean() > 0.98
+    assert got["score"].between(0, 1).all()
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    model = langid.learn(docs, F.lit(True))
+    assert model.languages == ["de", "en", "es", "fr"]
+    got = langid.identify(docs, model, ["doc_id", "text", "word"]).collect()
+    assert len(got) == docs.count() and got[0].asDict().keys() == {"doc_id", "text", "word", "lang_pred", "score"}
+    for r in got:
+        und = r["text"] is None or not any(c.isalpha() for c in r["text"])
+        assert (r["lang_pred"] == "und") == und and 0 <= r["score"] <= 1
+    nothing = langid.learn(docs, F.lit(False))
+    assert {r["lang_pred"] for r in langid.identify(docs, nothing, ["doc_id"]).collect()} == {"und"}
+    assert langid.identify(no_docs(spark), langid.learn(no_docs(spark), F.lit(True)), ["doc_id"]).count() == 0
+
+
+def test_scores_do_not_depend_on_labels(spark):
+    docs = odd_docs(spark)
+    model = langid.learn(docs, F.lit(True))
+    a = langid.identify(docs, model, ["doc_id"]).collect()
+    b = langid.identify(docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("y")), model, ["doc_id"]).collect()
+    assert a == b

@@ -1,0 +1,117 @@
+import hashlib
+
+import numpy as np
+from helpers import as_docs, no_docs, odd_docs, some_docs
+
+from ledgerline.llm import lcp, queries
+
+
+def slow_phrases(names):
+    """One level for one text, step by step: (name, start) of each phrase."""
+    mix = lambda x: int(lcp.mix(np.array([x], np.uint64))[0])
+    runs = []
+    for i, x in enumerate(names):
+        if runs and runs[-1][0] == x:
+            runs[-1][1] += 1
+        else:
+            runs.append([x, 1, i])
+    m = 2**64
+    x = [mix((s + n * 0x9E3779B97F4A7C15) % m) for s, n, _ in runs]
+
+    def toss(now, before):
+        i = ((now ^ before) & -(now ^ before)).bit_length() - 1
+        return 2 * i + (now >> i & 1)
+
+    label = x
+    for _ in range(3):
+        label = [toss(v, label[i - 1] if i else v ^ 1) for i, v in enumerate(label)]
+    cut = [i for i in range(len(x)) if i == 0 or i < len(x) - 1 and label[i - 1] < label[i] > label[i + 1]]
+    out = []
+    for a, z in zip(cut, [*cut[1:], len(x)]):
+        out.append((mix(sum(mix((v + k * 0xD1B54A32D192ED03) % m) for k, v in enumerate(x[a:z])) % m), runs[a][2]))
+    return out
+
+
+def slow_names(text):
+    names, level, out = [b + 1 for b in text], 0, set()
+    while True:
+        found, level = slow_phrases(names), level + 1
+        names = [n for n, _ in found]
+        if level >= lcp.MIN_LEVEL or len(names) == 1:
+            tag = max(level, lcp.MIN_LEVEL)
+            out |= {int(lcp.mix(np.array([n ^ tag], np.uint64))[0]) >> 32 for n in names}
+        if len(names) == 1:
+            return out
+
+
+def test_fingerprints_against_one_text_at_a_time():
+    r = np.random.default_rng(1)
+    texts = [b"", b"a", b"aa", b"aaaaaaaaab", b"abcabcabcabc" * 20, bytes(range(256))] + [bytes(r.integers(97, 97 + k, n).astype(np.uint8)) for k in (1, 2, 5, 26) for n in (3, 50, 700)]
+    got = lcp.fingerprints(texts)
+    for t, f in zip(texts, got):
+        assert f == ("" if not t else "".join(f"{v:08x}" for v in sorted(slow_names(t))[:lcp.K]))
+        assert lcp.fingerprints([t]) == [f]
+
+
+def test_equal_substrings_share_interior_phrases():
+    r = np.random.default_rng(2)
+    shared = bytes(r.integers(97, 123, 2000).astype(np.uint8))
+    a = slow_phrases([b + 1 for b in shared])
+    for n in (1, 7, 64):
+        head = bytes(r.integers(65, 91, n).astype(np.uint8))
+        b = {(x, at - n) for x, at in slow_phrases([c + 1 for c in head + shared])}
+        inner = [p for p in a if 40 <= p[1] < 1960]
+        assert all(p in b for p in inner)
+
+
+def test_likeness_estimates_the_names_jaccard():
+    r = np.random.default_rng(3)
+    words = [bytes(r.integers(97, 123, r.integers(2, 9)).astype(np.uint8)) for _ in range(500)]
+    text = lambda: b" ".join(words[i] for i in r.integers(0, 500, 800))
+    for share in (0, 0.25, 0.5, 0.9, 1):
+        x, y = text(), text()
+        z = x[:int(len(x) * share)] + y[int(len(x) * share):]
+        a, b = slow_names(x), slow_names(z)
+        fx, fz = lcp.fingerprints([x, z])
+        assert abs(lcp.likeness(fx, fz) - len(a & b) / len(a | b)) < 0.2
+    assert lcp.likeness("", "") == 1 and lcp.likeness("", "0" * 8) == 0
+
+
+def slow_next(rows):
+    texts = [t or "" for _, t in rows]
+    fps = lcp.fingerprints([t.encode() for t in texts])
+    out = []
+    for i, (d, _) in enumerate(rows):
+        t, n = texts[i], texts[(i + 1) % len(rows)]
+        e = t[:len(t) - len(t) // 2] + n[:len(t) // 2]
+        fe = lcp.fingerprints([e.encode()])[0]
+        out.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), fps[i], fe, lcp.likeness(fps[i], fe), lcp.likeness(fps[i], fps[(i + 1) % len(rows)])))
+    return out
+
+
+def test_query_against_brute_force(spark, sf_small):
+    docs = some_docs(spark, sf_small).sort_values("doc_id")
+    want = slow_next(list(docs[["doc_id", "text"]].itertuples(index=False, name=None)))
+    got = queries.op9_lcp_fingerprints(spark, sf_small).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want
+    long = [r for r in got if r["n_chars"] > 400]
+    assert np.mean([r["near_edited"] > r["near_next"] for r in long]) > 0.97
+
+
+def test_small_runs_and_odd_rows(spark, monkeypatch):
+    texts = ["a", None, "", "bb", "same words here", "same words here", "é" * 9, "ab" * 500]
+    docs = as_docs(spark, texts)
+    want = slow_next(list(enumerate(texts)))
+    assert sorted(map(tuple, lcp.with_next(docs).collect())) == want
+    monkeypatch.setattr(lcp, "RUN_CHARS", 1)
+    assert sorted(map(tuple, lcp.with_next(docs).collect())) == want
+    monkeypatch.undo()
+    odd = lcp.with_next(odd_docs(spark)).collect()
+    assert len(odd) == 13
+    by_id = {r["doc_id"]: r["fingerprint"] for r in odd}
+    assert by_id[1] == by_id[2] and by_id[3] == by_id[4] == ""
+    assert lcp.with_next(no_docs(spark)).count() == 0
+    one = lcp.with_next(as_docs(spark, ["alone in the table"])).collect()
+    assert [(r["near_next"], r["n_chars"]) for r in one] == [(1.0, 18)]
+    same = lcp.with_next(as_docs(spark, ["t"] * 30, doc_id=5)).collect()
+    assert {(r["near_edited"], r["near_next"]) for r in same} == {(1.0, 1.0)} and len(same) == 30

@@ -1,0 +1,86 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from ledgerline.llm import queries, warc
+from ledgerline.llm.common import table
+from ledgerline.session import work_dir
+
+PAGES = "page_id long, url string, html string, digest string, kept string"
+
+
+def expected(rows, least=0):
+    digest = lambda h: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
+    last = {}
+    for i, _, h in rows:
+        if i is not None:
+            last[digest(h)] = max(last.get(digest(h), i), i)
+    out = []
+    for i, _, h in rows:
+        size, kept = len((h or "").encode()), last.get(digest(h))
+        again = size >= least and kept is not None and (i is None or i < kept)
+        out.append((i, size, digest(h), "revisit" if again else "response", kept if again else None))
+    return sorted(out, key=repr)
+
+
+def converted(spark, pages, least=0):
+    arc, out = work_dir(spark, "arc"), work_dir(spark, "warc")
+    warc.write_arc(pages, arc)
+    warc.convert(spark, arc, out, least)
+    return arc, out, warc.read_warc(spark, out)
+
+
+def test_query_against_brute_force(spark, sf_small):
+    rows = [tuple(r) for r in table(spark, sf_small, "pages").select("page_id", "url", "html").collect()]
+    got = queries.op1_arc_to_warc(spark, sf_small).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got), key=repr) == expected(rows)
+
+
+@pytest.mark.parametrize("least", [0, 4])
+def test_odd_rows(spark, least):
+    tricky = "WARC/1.0\r\n\r\n\n\nHTTP/1.1 200 OK\r\n\r\n"
+    rows = [(1, "http://a/", "same"), (2, "http://b/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "", ""), (None, "http://c/ d\n", "same"),
+            (None, None, "alone"), (5, "http://ü/ ", tricky), (6, "x", "é" * 300_000), (7, "http://z/", "abc")]
+    pages = spark.createDataFrame([(*r, "d", "k") for r in rows], PAGES).repartition(3)
+    _, _, read = converted(spark, pages, least)
+    read = read.cache()
+    ids = {r["record_id"]: r["source_id"] for r in read.where("record_type = 'response'").collect()}
+    got = [(r["source_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], ids.get(r["refers_to_id"])) for r in read.collect()]
+    assert sorted(got, key=repr) == expected(rows, least)
+    assert read.where("header_digest <> payload_digest").count() == 0
+
+
+def test_no_pages(spark):
+    assert converted(spark, spark.createDataFrame([], PAGES))[2].count() == 0
+
+
+def test_both_versions_and_foreign_records():
+    about = b"1 0 archive\n" + warc.ARC_FIELDS[1].encode() + b"\n"
+    two = b"2 0 archive\n" + warc.ARC_FIELDS[2].encode() + b"\n"
+    data = (
+        b"filedesc://a.arc 0.0.0.0 19970101000000 text/plain %d\n" % len(about) + about + b"\n"
+        b"http://h/a b 1.2.3.4 19970102030405 text/html 25\nHTTP/1.0 404 No\r\n\r\nno\n\n\n\n\n"
+        b"dns:h 1.2.3.4 19970102030405 text/dns 4\n\x00\xff\n\n\n"
+        b"filedesc://b.arc 0.0.0.0 19980101000000 text/plain 200 - - 0 b.arc %d\n" % len(two) + two + b"\n"
+        b"http://h/c 1.2.3.4 19980102030405 text/html 301 - http://h/d 10 b.arc 5\nhello\n")
+    got = list(warc.arc_records(data))
+    assert [(r[0], r[1], r[5], r[7]) for r in got] == [
+        (1, "http://h/a b", 404, b"no\n\n\n\n"), (1, "dns:h", None, b"\x00\xff\n\n"), (2, "http://h/c", 301, b"hello")]
+    half = len(data) // 2
+    packed = gzip.compress(data[:half]) + gzip.compress(data[half:])
+    assert list(warc.arc_records(packed)) == got
+    with pytest.raises(ValueError):
+        list(warc.arc_records(data[:-3]))
+
+
+def test_binary_payload_survives(spark):
+    body = bytes(range(256)) * 3
+    r = spark.createDataFrame([(1, "http://h/", "1.2.3.4", "19970102030405", "text/html", 200, "HTTP/1.0 200 OK\r\nX-Page-Id: 5\r\n\r\n", body, 5),
+                               (1, "dns:h", "1.2.3.4", "19970102030405", "text/dns", None, "", b"\xff\xfe", None)], warc.RECORD_SCHEMA)
+    out = work_dir(spark, "warc")
+    warc.write_warc(warc.with_revisits(r), out)
+    got = {x["record_type"]: x for x in warc.read_warc(spark, out).collect()}
+    assert got["response"]["payload_digest"] == base64.b32encode(hashlib.sha1(body).digest()).decode()
+    assert got["resource"]["payload_bytes"] == 2 and got["resource"]["date"] == "1997-01-02T03:04:05Z"
