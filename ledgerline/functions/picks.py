@@ -9,10 +9,9 @@ ordering makes the choice total and so repeatable even when the order columns
 tie. ``min`` over a struct is a plain declarative aggregate, so it is
 partially aggregated map-side like ``sum`` (no group is ever collected).
 
-Means are computed as an exact sum divided once by the count, so the answer
-does not depend on the order in which rows are added up. NUMERIC feed values
-carry two decimal places (the producer rounds them), so they are summed at
-scale 2; the quotient is a DOUBLE.
+Means are an exact sum divided once by the count, so the answer does not depend
+on the order in which rows are added up. A mean of NUMERIC values keeps all
+nine places of its inputs and is NUMERIC itself; a mean of integers is DOUBLE.
 """
 
 from __future__ import annotations
@@ -42,10 +41,9 @@ def unpack(struct_col: str, values: Sequence[str]) -> list[Column]:
     return [F.col(f"{struct_col}.{v}").alias(v) for v in values]
 
 
-def decimal_mean(c, scale: int = 2) -> Column:
-    """AVG of a NUMERIC column: exact decimal sum / count, as DOUBLE."""
-    x = _c(c).cast(f"decimal(38,{scale})")
-    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
+def decimal_mean(c) -> Column:
+    """AVG of a NUMERIC column, as NUMERIC: the sum at full scale, divided once."""
+    return F.avg(_c(c).cast("decimal(38,9)")).cast("decimal(38,9)")
 
 
 def integer_mean(c) -> Column:

@@ -54,16 +54,6 @@ def to_wire_text(ts) -> Column:
                   ).otherwise(F.date_format(c, WIRE_TIMESTAMP_FRACTION_FORMAT))
 
 
-def parse_event_time(text) -> Column:
-    """Text with or without the ' UTC' suffix (and with microseconds) -> timestamp."""
-    return _col(text).try_cast("timestamp")
-
-
-def add_days(ts, days: int) -> Column:
-    """ts + INTERVAL n DAYS (due date = event time + 30 days)."""
-    return _col(ts) + F.expr(f"INTERVAL {int(days)} DAYS")
-
-
 def month_sequence(start, end) -> Column:
     """GENERATE_DATE_ARRAY(start, end, INTERVAL 1 MONTH), both ends included."""
     return F.sequence(_lit_date(start), _lit_date(end), F.expr("INTERVAL 1 MONTH"))

@@ -118,17 +118,6 @@ REVENUE_AUDITS = [
 AUDITS: dict[str, Audit] = {
     a.name: a for a in CUSTOMER_AUDITS + CUSTOMER_GAP_AWARE_AUDITS + REVENUE_AUDITS}
 
-# Column renames for rules written against older model column names.
-LEGACY_COLUMN_NAMES = {
-    "sum_monthly_revenue": "total_annualized_revenue",
-    "sum_payment_amt": "total_payment_amount",
-    "revenue_stability_score": "avg_revenue_stability_score",
-    "sum_advance_amt": "total_advance_amount",
-    "revenue_volatility": "avg_revenue_volatility",
-    "growth_rate": "avg_growth_rate",
-}
-
-
 def violations(model: DataFrame, audit: Audit | str) -> DataFrame:
     """Rows of ``model`` that break the audit (empty when it passes)."""
     a = AUDITS[audit] if isinstance(audit, str) else audit

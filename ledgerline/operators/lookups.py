@@ -1,9 +1,9 @@
 """Dimension lookup and cohort membership joins.
 
-``lookup_profiles`` attaches per-user attributes to events. The profile table
-grows with the user base, so it is broadcast only after a row-count check;
-above the bound the join is a shuffle join (and AQE can still broadcast it if
-it measures small at runtime).
+``lookup_profiles`` attaches per-user attributes to events. Whether the profiles
+are broadcast is left to the engine, which knows their size in bytes (from
+statistics, or measured at run time): above its threshold the join is a shuffle
+join, whose skewed partitions adaptive execution splits.
 
 ``in_cohort`` keeps the rows of a grid whose (key, period) is in a cohort -
 a left semi join, which never multiplies rows.
@@ -13,14 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgerline.sources.tables import bounded_broadcast
 
-PROFILE_BROADCAST_MAX_ROWS = 200_000
-
-
-def lookup_profiles(events: DataFrame, profiles: DataFrame, key: str = "user_id",
-                    max_broadcast_rows: int = PROFILE_BROADCAST_MAX_ROWS) -> DataFrame:
-    return events.join(bounded_broadcast(profiles, max_broadcast_rows), key, "left")
+def lookup_profiles(events: DataFrame, profiles: DataFrame, key: str = "user_id") -> DataFrame:
+    return events.join(profiles, key, "left")
 
 
 def in_cohort(grid: DataFrame, cohort: DataFrame, keys) -> DataFrame:

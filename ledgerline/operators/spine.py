@@ -4,7 +4,7 @@
 * ``calendar``: users x months with year, month and 'yyyy-MM' text. The month
   list is a constant array (folded at planning), exploded per user, so this
   is a per-row generate, not a cross join.
-* ``day_spine``: per user, every day from the first to the last active day.
+* ``day_spine``: per user, every day from the first to the last active day within given days.
 """
 
 from __future__ import annotations
@@ -40,13 +40,15 @@ def calendar(users: DataFrame,
     return users.repartition(n).select("user_id", F.inline(timefns.month_rows(start, end)))
 
 
-def day_spine(events: DataFrame) -> DataFrame:
-    """Per user, one row per calendar day between their first and last event day.
+def day_spine(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Per user, one row per calendar day between their first and last event day in [first, last].
 
     The span per user is found with one aggregate (partial per task), then
-    each user's day list is generated from its two bounds.
+    each user's day list is generated from its two bounds; a stray event of
+    year 1 or 9999 lies outside the given days and so can't stretch it.
     """
-    bounds = events.groupBy("user_id").agg(
+    day = F.to_date("event_time")
+    bounds = events.where(day.between(F.lit(first), F.lit(last))).groupBy("user_id").agg(
         F.min("event_time").alias("_first"), F.max("event_time").alias("_last"))
     return (
         bounds.select(

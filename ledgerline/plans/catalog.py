@@ -14,18 +14,19 @@ from collections.abc import Callable
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import derive, timefns
 from ledgerline.operators import audits, dedup, lookups, rollups, spine
-from ledgerline.plans import materialize
+from ledgerline.plans import faults, materialize
 from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_month_slice, customer_summary
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 from ledgerline.session import ensure_utc, work_dir
 from ledgerline.sources import feeds as feedmod
 from ledgerline.sources import json_events, schemas
 from ledgerline.streaming import ingest as stream_ingest
+from ledgerline.streaming import publish
 
 DATA_SPINE = (dt.date(1995, 1, 1), dt.date(2024, 12, 1))
 REF_SPINE = (timefns.DEFAULT_SPINE_START, timefns.DEFAULT_SPINE_END)
@@ -47,7 +48,8 @@ def query(name: str):
 
 
 def _feeds(spark, sf_dir, inject=False, names=None):
-    return feedmod.load_feeds(spark, sf_dir, inject_violations=inject, names=names)
+    feeds = feedmod.load_feeds(spark, sf_dir, names=names)
+    return faults.with_violations(feeds) if inject else feeds
 
 
 M2_FEEDS = ("subscription", "revenue")
@@ -81,8 +83,29 @@ def q_customer_summary_ref(spark, sf_dir):
 
 @query("summary_sorted")
 def q_summary_sorted(spark, sf_dir):
-    """M1 with the model's global ORDER BY user_id, year, month, month_year."""
-    return customer_summary(_feeds(spark, sf_dir), *DATA_SPINE, sort=True)
+    """M1 with the model's global ORDER BY user_id, year, month, month_year; row_no is each row's place in that output."""
+    return _numbered(customer_summary(_feeds(spark, sf_dir), *DATA_SPINE, sort=True))
+
+
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """row_no from the order in which rows come: partition by partition, and in order within each."""
+    path = work_dir(ordered.sparkSession, "ordered")
+    ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")).write.parquet(path)
+    rows = ordered.sparkSession.read.parquet(path)
+    # One row a partition, not one a row of data.
+    parts = rows.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    upto = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = parts.withColumn("_before", upto - F.col("n")).drop("n")
+    return rows.join(parts, "_part").withColumn("row_no", F.col("_before") + F.col("_at") - F.col("_first") + 1).select(*ordered.columns, "row_no")
+
+
+@query("customer_summary_all_feeds")
+def q_customer_summary_all(spark, sf_dir):
+    """M1 with the event feeds moved to January 1998, where all four feeds meet in one grid row."""
+    feeds = _feeds(spark, sf_dir)
+    for name in ("churn", "engagement"):
+        feeds[name] = feeds[name].withColumn("event_time", F.col("event_time") - F.expr("INTERVAL 312 MONTHS"))
+    return customer_summary(feeds, *DATA_SPINE)
 
 
 @query("customer_month_slice")
@@ -112,8 +135,8 @@ def q_month_spine(spark, sf_dir):
 
 @query("day_spine")
 def q_day_spine(spark, sf_dir):
-    """Per engaged user, every day from the first to the last engagement day."""
-    return spine.day_spine(feedmod.engagement_feed(spark, sf_dir))
+    """Per engaged user, every day from the first to the last engagement day in the model's years."""
+    return spine.day_spine(feedmod.engagement_feed(spark, sf_dir), dt.date(2018, 1, 1), dt.date(2024, 12, 31))
 
 
 @query("agg_sub")
@@ -148,12 +171,10 @@ def q_sub_ts(spark, sf_dir):
 
 # --- audits (over models built from feeds with rule-injected violations) ------
 
-def _audited_models(spark, sf_dir):
-    f = _feeds(spark, sf_dir, inject=True)
-    return {
-        "customer_summary": customer_summary(f, *DATA_SPINE),
-        "subscription_revenue_summary": subscription_revenue_summary(f),
-    }
+def _audited_model(spark, sf_dir, name: str) -> DataFrame:
+    if name == "customer_summary":
+        return customer_summary(_feeds(spark, sf_dir, inject=True), *DATA_SPINE)
+    return subscription_revenue_summary(_feeds(spark, sf_dir, inject=True, names=M2_FEEDS))
 
 
 @query("audit_counts_customer")
@@ -172,8 +193,7 @@ def q_audit_counts_revenue(spark, sf_dir):
 
 def _register_audit_rows(audit):
     def run(spark, sf_dir):
-        model = _audited_models(spark, sf_dir)[audit.model]
-        return audits.violations(model, audit)
+        return audits.violations(_audited_model(spark, sf_dir, audit.model), audit)
     run.__doc__ = f"Rows of {audit.model} that break '{audit.name}': {audit.description}."
     query(f"audit_rows_{audit.name}")(run)
 
@@ -188,7 +208,7 @@ def _json_ingest(spark, sf_dir):
     sub = feedmod.subscription_feed(spark, sf_dir)
     enc = json_events.encode_events(sub, schemas.SUBSCRIPTION,
                                     keep=[F.col("subscription_id").cast("bigint").alias("_k")])
-    msgs = json_events.corrupt_by_rule(enc, F.col("_k")).select("value")
+    msgs = faults.corrupt_by_rule(enc, F.col("_k")).select("value")
     return json_events.split_valid(json_events.decode_events(msgs, schemas.SUBSCRIPTION),
                                    schemas.SUBSCRIPTION)
 
@@ -203,7 +223,8 @@ def q_json_valid(spark, sf_dir):
 def q_json_rejects(spark, sf_dir):
     """Same input: rejected messages with their event id and reason."""
     rejects = _json_ingest(spark, sf_dir)[1]
-    return rejects.select(json_events.message_key("raw").alias("subscription_id"), "reason")
+    # Truncated text still has its id; a message without one has the empty text here.
+    return rejects.select(F.regexp_extract("raw", r'"subscription_id":"([^"]*)"', 1).alias("subscription_id"), "reason")
 
 
 @query("replay_dedup")
@@ -220,51 +241,130 @@ def q_replay_dedup(spark, sf_dir):
 def q_stream_roundtrip(spark, sf_dir):
     """All four topics as JSON files -> four concurrent streaming ingests (availableNow)
     -> raw tables; returns the engagement table read back."""
+    paths = _ingested(spark, sf_dir)
+    return stream_ingest.read_raw_table(spark, paths["customer_engagement"], schemas.ENGAGEMENT)
+
+
+def _ingested(spark, sf_dir, damaged: bool = False) -> dict[str, stream_ingest.IngestPaths]:
     root = work_dir(spark, "ingest")
     sources = {}
     for name, feed in schemas.FEEDS.items():
         landing = f"{root}/landing/{feed.topic}"
-        json_events.encode_events(feedmod.FEED_BUILDERS[name](spark, sf_dir), feed) \
-            .write.mode("overwrite").text(landing)
+        rows = feedmod.FEED_BUILDERS[name](spark, sf_dir)
+        if damaged:
+            publish.publish_files(_damaged(rows, feed), feed, landing)
+        else:
+            publish.publish_files(rows, feed, landing)
         sources[feed.topic] = stream_ingest.file_source(spark, landing)
-    paths = stream_ingest.run_ingest(sources, root, available_now=True)
-    return stream_ingest.read_raw_table(spark, paths["customer_engagement"], schemas.ENGAGEMENT)
+    suffix = root.rsplit("-", 1)[1]
+    return stream_ingest.run_ingest(sources, root, table_names={f.topic: f"{f.table}_{suffix}" for f in schemas.FEEDS.values()})
+
+
+def _digest(text) -> Column:
+    """32 bits of a text's MD5."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def _damaged(rows: DataFrame, feed: schemas.Feed) -> DataFrame:
+    """Some rows lose their event id, some their user: both are REQUIRED."""
+    key = _digest(F.col(feed.pk))
+    return rows.withColumns({
+        "user_id": F.when(key % 101 != 1, F.col("user_id")),
+        feed.pk: F.when(key % 97 != 1, F.col(feed.pk)),
+    })
+
+
+@query("stream_ingest_tables")
+def q_stream_tables(spark, sf_dir):
+    """All four topics, some messages without event id or user -> rows, content digest and rejects of each raw table."""
+    paths = _ingested(spark, sf_dir, damaged=True)
+    out = None
+    for feed in schemas.FEEDS.values():
+        rows = stream_ingest.read_all(spark, paths[feed.topic], feed)
+        valid, bad = F.col("kind") == "valid", F.col("kind") == "rejects"
+        # A sum of row digests needs no order, and is equal only for equal rows.
+        digest = _digest(F.concat_ws("|", feed.pk, "user_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+        one = rows.agg(
+            F.count(F.when(valid, 1)).alias("n_rows"),
+            F.coalesce(F.sum(F.when(valid, digest)), F.lit(0)).alias("digest"),
+            F.count(F.when(bad, 1)).alias("n_rejects"),
+            F.count(F.when(bad & F.col("reason").contains(f"missing:{feed.pk}"), 1)).alias("without_id"),
+            F.count(F.when(bad & F.col("reason").contains("missing:user_id"), 1)).alias("without_user"),
+        ).select(F.lit(feed.table).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+MISSING_MONTH, STRAY_MONTH = "1998-06", "2003-01"
+JUNE_98, JAN_03 = dt.date(1998, 6, 1), dt.date(2003, 1, 1)
+M1_COLUMNS = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]
+
+
+def _model_columns(spark, path: str, columns) -> DataFrame:
+    return spark.read.parquet(path).select(*columns)
 
 
 @query("restate_month")
 def q_restate_month(spark, sf_dir):
-    """Write customer_summary partitioned by month, restate 1998-06 in place, read back."""
+    """M1 stored from an older version of the feeds (a month's events missing, and stray in another), then both months restated."""
     feeds = _feeds(spark, sf_dir)
     path = work_dir(spark, "customer_summary")
-    materialize.write_model(customer_summary(feeds, *DATA_SPINE), path)
-    materialize.restate_customer_summary(feeds, path, dt.date(1998, 6, 1), dt.date(1998, 6, 1),
-                                         spine_start=DATA_SPINE[0], spine_end=DATA_SPINE[1])
-    model_cols = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]
-    return spark.read.parquet(path).select(*model_cols)
+    materialize.write_model(customer_summary(faults.another_version(feeds, MISSING_MONTH, STRAY_MONTH), *DATA_SPINE), path)
+    for month in (JUNE_98, JAN_03):
+        materialize.restate_customer_summary(feeds, path, month, month, spine_start=DATA_SPINE[0], spine_end=DATA_SPINE[1])
+    return _model_columns(spark, path, M1_COLUMNS)
 
 
-# --- derived-column rules, lookups -------------------------------------------------
+@query("restate_new_users")
+def q_restate_users(spark, sf_dir):
+    """M1 stored before some users had joined, then one month restated: the whole grid has them."""
+    feeds = _feeds(spark, sf_dir)
+    path = work_dir(spark, "customer_summary")
+    materialize.write_model(customer_summary(faults.without_a_user(feeds), *DATA_SPINE), path)
+    materialize.restate_customer_summary(feeds, path, JUNE_98, JUNE_98, spine_start=DATA_SPINE[0], spine_end=DATA_SPINE[1])
+    return _model_columns(spark, path, M1_COLUMNS)
+
+
+@query("restate_revenue_months")
+def q_restate_revenue(spark, sf_dir):
+    """M2 stored from the older version, then both months restated; the stray month becomes empty."""
+    feeds = _feeds(spark, sf_dir, names=M2_FEEDS)
+    path = work_dir(spark, "subscription_revenue")
+    old = subscription_revenue_summary(faults.another_version(feeds, MISSING_MONTH, STRAY_MONTH))
+    materialize.write_model(old, path, cluster_by=("user_id", "event_date"))
+    for month in (JUNE_98, JAN_03):
+        materialize.restate_subscription_revenue(feeds, path, month, month)
+    return _model_columns(spark, path, old.columns)
+
+
+@query("rebuild_revenue")
+def q_rebuild(spark, sf_dir):
+    """M2 built from the older version, then in full again: no stale month stays, even in a session with dynamic overwrite."""
+    feeds = _feeds(spark, sf_dir, names=M2_FEEDS)
+    path = work_dir(spark, "subscription_revenue")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for version in (faults.another_version(feeds, MISSING_MONTH, STRAY_MONTH), feeds):
+            model = subscription_revenue_summary(version)
+            materialize.write_model(model, path, cluster_by=("user_id", "event_date"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    return _model_columns(spark, path, model.columns)
 
-def _u_from(col: str) -> Column:
-    """A [0, 1) input in 0.01 steps from a 1..100 score column."""
-    return (F.col(col) - 1).cast("decimal(10,0)") * F.lit(Decimal("0.01"))
 
+# --- derived-column rules, lookups -------------------------------------------------
 
 @query("derived_subscription")
 def q_derived_sub(spark, sf_dir):
-    """Annualize, plan branch, season class and multiplier, clip, per subscription event."""
+    """Annualize, season class and clip per subscription event, NULL inputs among them."""
     s = feedmod.subscription_feed(spark, sf_dir)
-    u = _u_from("bank_connection_quality")
-    m = F.month("event_time")
+    rate = F.when(F.col("subscription_id").cast("bigint") % 11 != 0, F.col("growth_rate"))
     return s.select(
         "subscription_id",
         derive.annualize("subscription_amount").cast("decimal(38,9)").alias("annualized"),
-        derive.plan_monthly_amount("subscription_plan", u).cast("decimal(38,9)").alias("plan_amount"),
-        derive.season_class(m).alias("season"),
-        derive.season_multiplier(m, u).cast("decimal(38,9)").alias("season_multiplier"),
-        derive.clip("growth_rate", Decimal("-0.5"), Decimal("0.5")).cast("decimal(38,9)")
-        .alias("clipped_growth_rate"),
-        derive.plan_payment_log_mean("subscription_plan").alias("payment_log_mean"),
+        derive.season_class(F.month("event_time")).alias("season"),
+        derive.clip(rate, Decimal("-0.5"), Decimal("0.5")).cast("decimal(38,9)").alias("clipped_growth_rate"),
     )
 
 
@@ -283,14 +383,17 @@ def q_derived_rev(spark, sf_dir):
 
 @query("derived_churn")
 def q_derived_churn(spark, sf_dir):
-    """Churn score and the high-risk default per churn event."""
+    """Churn score from the row's own base and both high-risk defaults per churn event, NULL inputs among them."""
     c = feedmod.churn_feed(spark, sf_dir)
-    score = derive.churn_score(F.lit(Decimal("0.45")), "support_ticket_count",
-                               "usage_drop_percentage", "satisfaction_score")
+    key = F.col("churn_event_id").cast("bigint")
+    drop = F.when(key % 13 != 0, F.col("usage_drop_percentage"))
+    inputs = (feedmod.churn_base(key), "support_ticket_count", drop, "satisfaction_score")
+    raw = derive.churn_risk_raw(*inputs)
     return c.select(
         "churn_event_id",
-        score.alias("churn_score_rule"),
-        derive.high_risk_default(score, F.lit("other"), F.lit("none")).alias("reason_rule"),
+        derive.churn_score(*inputs).alias("churn_score_rule"),
+        derive.high_risk_default(raw, F.lit("other"), F.lit("none")).alias("reason_rule"),
+        derive.high_risk_default(raw, key % 2 == 1, F.lit(False)).alias("withdrawal_rule"),
     )
 
 
@@ -307,7 +410,7 @@ def q_derived_eng(spark, sf_dir):
 
 @query("profile_lookup")
 def q_profile_lookup(spark, sf_dir):
-    """Revenue events with the user's profile attached (size-checked broadcast)."""
+    """Revenue events with the user's profile attached."""
     rev = feedmod.revenue_feed(spark, sf_dir).select("revenue_id", "user_id", "payment_amount")
     return lookups.lookup_profiles(rev, feedmod.user_profiles(spark, sf_dir))
 

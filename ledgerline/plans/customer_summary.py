@@ -4,7 +4,11 @@ Rows = distinct users x spine months, exactly (each roll-up is unique on
 (user_id, year, month), so the left joins never multiply rows). Columns: keys,
 month text, and 27 roll-up columns with NULL filled by 'N/A', 0 or FALSE.
 
-Two plan shapes give the same rows:
+Three plan shapes give the same rows:
+
+* ``grid`` (the default): roll up once, then let each month row emit itself and
+  the empty months up to the user's next one. Users and months both come out of
+  the roll-ups, so every feed is scanned once and nothing is joined to a grid.
 
 * ``star``: the model as written - four monthly roll-ups, each left-joined to
   the calendar. All joins use the same keys, so after the calendar is
@@ -16,13 +20,11 @@ Two plan shapes give the same rows:
   grid instead of four, with the engagement rows never passing through the
   sort-based aggregate that string picks need.
 
-In both shapes the user list is a distinct over the raw feeds' user_id
-column alone: a one-column scan with a per-task partial distinct. (Reading
-it off the roll-ups does not save that scan: Catalyst prunes the copy of the
-roll-up that feeds the user list down to a bare key distinct, so the two
-subtrees differ and no shuffle is reused.)
+In star and stacked the user list is a distinct over the raw feeds' user_id
+column alone, a second scan of each feed; they also take a given user list, as
+month-range restatement needs.
 
-Neither shape broadcasts anything that grows with the data; AQE may still
+No shape broadcasts anything that grows with the data; AQE may still
 turn a join into a broadcast at runtime when a side measures small.
 """
 
@@ -31,7 +33,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import timefns
@@ -77,8 +79,8 @@ def _star(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
     return reduce(lambda acc, part: acc.join(part, MONTH_KEYS, "left"), parts, cal)
 
 
-def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
-             users: DataFrame | None = None) -> DataFrame:
+def _picked(feeds: dict[str, DataFrame]) -> DataFrame:
+    """Monthly roll-up of the three feeds with picks, in one aggregate over their tagged union."""
     needed = {
         "s": (feeds["subscription"], ["subscription_id", "subscription_plan", "region", "user_segment",
                                       "growth_rate", "annualized_revenue", "customer_growth_rate"]),
@@ -106,31 +108,65 @@ def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
     picks.update({c: f"_pr.{c}" for c in rollups.REV_PICKS})
     picks.update({c: f"_pc.{c}" for c in rollups.CHURN_PICKS})
     stacked_cols = rollups.SUB_COLUMNS + rollups.REV_COLUMNS + rollups.CHURN_COLUMNS
-    picked = picked.select(*MONTH_KEYS, *[F.col(picks.get(c, c)).alias(c) for c in stacked_cols])
-    engaged = rollups.agg_engage(feeds["engagement"])
+    return picked.select(*MONTH_KEYS, *[F.col(picks.get(c, c)).alias(c) for c in stacked_cols])
+
+
+def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
+             users: DataFrame | None = None) -> DataFrame:
     cal = spine.calendar(users if users is not None else spine.distinct_users(feeds), start, end)
-    return cal.join(picked, MONTH_KEYS, "left").join(engaged, MONTH_KEYS, "left")
+    return (cal.join(_picked(feeds), MONTH_KEYS, "left")
+            .join(rollups.agg_engage(feeds["engagement"]), MONTH_KEYS, "left"))
+
+
+def _grid(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
+          users: DataFrame | None = None) -> DataFrame:
+    """Month rows of a user, in order, each followed by the empty months up to the next.
+
+    A user has at most one row a month here, so a window over a user is bounded
+    by the months of the data, however many events the user has. Months outside
+    the spine sort last and emit nothing, unless the user has no other: then the
+    first of them emits the whole empty grid. Events without a user make a grid
+    of empty months, as the model's joins on user_id do.
+    """
+    if users is not None:
+        raise ValueError("the grid form takes its users from the feeds")
+    months = timefns.month_rows(start, end)
+    n = (end.year - start.year) * 12 + end.month - start.month + 1
+    engaged = rollups.agg_engage(feeds["engagement"])
+    rows = _picked(feeds).join(engaged, MONTH_KEYS, "full")
+    place = (F.col("year") - start.year) * 12 + F.col("month") - start.month
+    rows = rows.withColumn("_at", F.when(place.between(0, n - 1), place).otherwise(n))
+    in_order = Window.partitionBy("user_id").orderBy("_at")
+    rows = rows.withColumns({"_from": F.lag("_at").over(in_order), "_to": F.lead("_at").over(in_order)})
+    rows = rows.withColumns({"_from": F.when(F.col("_from").isNull(), 0).otherwise(F.col("_at")), "_to": F.coalesce("_to", F.lit(n))})
+    rows = rows.where("_from < _to").withColumn("_month", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)))
+    here = (F.col("_month") == F.col("_at")) & F.col("user_id").isNotNull()
+    at = F.element_at(months, F.col("_month") + 1)
+    return rows.select(
+        "user_id", at["year"].alias("year"), at["month"].alias("month"), at["month_year"].alias("month_year"),
+        *[F.when(here, F.col(c)).alias(c) for c, _ in OUTPUT_COLUMNS])
 
 
 def customer_summary(
     feeds: dict[str, DataFrame],
     spine_start: dt.date = timefns.DEFAULT_SPINE_START,
     spine_end: dt.date = timefns.DEFAULT_SPINE_END,
-    form: str = "stacked",
+    form: str = "grid",
     sort: bool = False,
     users: DataFrame | None = None,
 ) -> DataFrame:
     """Build the model from the four feeds.
 
-    ``form`` picks the plan shape ("stacked", the default, or "star"); both
+    ``form`` picks the plan shape ("grid", the default, "star" or "stacked"); all
     return the same rows.
-    ``users`` overrides the user list (default: every user of the feeds);
-    month-range restatement passes the full list with range-cut feeds.
+    ``users`` overrides the user list (default: every user of the feeds; not in
+    the grid form); month-range restatement passes the full list with range-cut
+    feeds.
     ``sort=True`` adds the model's global ORDER BY (a range shuffle); tables
     keep no order, so writers use ``plans.materialize`` instead, which
     clusters and sorts within files.
     """
-    builders = {"star": _star, "stacked": _stacked}
+    builders = {"grid": _grid, "star": _star, "stacked": _stacked}
     out = _fill(builders[form](feeds, spine_start, spine_end, users))
     return out.orderBy(*SORT_KEYS) if sort else out
 

@@ -32,7 +32,7 @@ class Model:
 MODELS: dict[str, Model] = {
     "customer_summary": Model(
         "customer_summary", lambda feeds: customer_summary(feeds),
-        ("user_id", "year", "month"), audits=audits.CUSTOMER_AUDITS),
+        ("user_id", "year", "month"), audits=audits.CUSTOMER_AUDITS + audits.CUSTOMER_GAP_AWARE_AUDITS),
     "subscription_revenue_summary": Model(
         "subscription_revenue_summary", subscription_revenue_summary,
         ("user_id", "event_date"), audits=audits.REVENUE_AUDITS),

@@ -2,8 +2,8 @@
 
 Months are UTC months, so every entry point pins the session time zone to
 UTC. Scratch output (streaming checkpoints, restated tables) goes under the
-cluster's ``spark.checkpoint.dir``; a local folder is created only when the
-session has none configured (tests, single-machine runs).
+cluster's ``spark.checkpoint.dir``; a local folder is created only in a local
+session that has none configured (tests, single-machine runs).
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ def get_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -52,13 +51,20 @@ def get_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is set."""
+    """The shared checkpoint folder.
+
+    Only a session whose executors are on this machine may go without one: a
+    local folder is then made. On a cluster each executor would write to its own
+    disk and results would be incomplete, so that is an error.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
         return root
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

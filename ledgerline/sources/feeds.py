@@ -13,10 +13,6 @@ values (for example plan from order priority, repayment status from the
 return flag), using the same rules the event producer applies (see
 ``functions.derive``). Every output column has exactly the feed's declared
 type (``sources.schemas``).
-
-``inject_violations=True`` rewrites a rule-chosen set of rows with values the
-audits must catch (bad status, out-of-range risk and score, zero revenue,
-NULL in a REQUIRED column, status/delinquency disagreement).
 """
 
 from __future__ import annotations
@@ -28,11 +24,14 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import derive
 from ledgerline.sources import schemas
-from ledgerline.sources.tables import bounded_broadcast, read_table, spread_narrow_scan
+from ledgerline.sources.tables import read_table
 
-# nation and region are fixed-size dimensions (25 and 5 rows); the bound is
-# checked before they are broadcast.
-GEO_MAX_ROWS = 10_000
+# What the feeds' text columns may hold.
+PAYMENT_METHODS = ["credit_card", "paypal", "bank_transfer"]
+CURRENCIES = ["USD", "EUR", "GBP"]
+PERIODS = ["monthly", "quarterly", "annual"]
+PLANS = ["basic", "pro", "enterprise"]
+CHURN_REASONS = ["pricing", "lack_of_feature", "competitor", "other"]
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -49,23 +48,20 @@ def _finish(df: DataFrame, feed: schemas.Feed) -> DataFrame:
     return df.selectExpr(*[f"CAST(`{c}` AS {t.simpleString()}) AS `{c}`" for c, t, _ in feed.fields])
 
 
-def subscription_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
-    o = spread_narrow_scan(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-        ["o_orderkey"])
+def subscription_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    cust = c.join(bounded_broadcast(geo, GEO_MAX_ROWS), c.c_nationkey == geo.n_nationkey).select(
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "c_acctbal", "r_name")
     j = o.join(cust, o.o_custkey == cust.c_custkey)
 
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     annualized = derive.annualize(amount)
-    if inject_violations:
-        annualized = F.when(F.col("o_orderkey") % 997 == 0, _d("0")).otherwise(annualized)
     out = j.select(
         F.col("o_orderkey").cast("string").alias("subscription_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
@@ -81,20 +77,19 @@ def subscription_feed(spark: SparkSession, sf_dir: str, inject_violations: bool
         F.col("c_mktsegment").alias("user_segment"),
         ((F.col("o_orderkey") % 5 + 1) * 12).alias("contract_length_months"),
         (F.col("c_acctbal") > 0).alias("capital_eligibility"),
-        ((F.col("o_orderkey") % 201 - 100).cast("decimal(18,0)") * _d("0.01")).alias("growth_rate"),
+        ((F.col("o_orderkey") % 2001 - 1000).cast("decimal(18,0)") * _d("0.001")).alias("growth_rate"),
         annualized.alias("annualized_revenue"),
         (F.col("o_orderstatus") == "F").alias("billing_connection_status"),
-        ((F.col("o_custkey") % 101 - 50).cast("decimal(18,0)") * _d("0.02")).alias("customer_growth_rate"),
+        ((F.col("o_orderkey") % 10007 - 5003).cast("decimal(18,0)") * _d("0.00012345")).alias("customer_growth_rate"),
         (F.col("o_orderkey") % 100 + 1).alias("bank_connection_quality"),
     )
     return _finish(out, schemas.SUBSCRIPTION)
 
 
-def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
-    li = spread_narrow_scan(read_table(spark, sf_dir, "lineitem").select(
+def revenue_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
 
@@ -112,11 +107,6 @@ def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = Fal
         .when(F.col("l_quantity") < 34, F.lit("stable"))
         .otherwise(F.lit("increasing"))
     )
-    if inject_violations:
-        delinquency = F.when((F.col("l_linenumber") == 6) & (status == "delayed"),
-                             F.lit("no_delinquency")).otherwise(delinquency)
-        status = F.when(F.col("l_linenumber") == 7, F.lit("paused")).otherwise(status)
-        trend = F.when(F.col("l_quantity") == 50, F.lit(None).cast("string")).otherwise(trend)
 
     event_time = F.col("l_shipdate").cast("timestamp")
     out = j.select(
@@ -125,12 +115,12 @@ def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = Fal
         F.col("o_custkey").cast("string").alias("user_id"),
         event_time.alias("event_time"),
         price.alias("payment_amount"),
-        _pick(["credit_card", "paypal", "bank_transfer"], F.col("l_linenumber") % 3).alias("payment_method"),
+        _pick(PAYMENT_METHODS, F.col("l_linenumber") % 3).alias("payment_method"),
         (disc * 100).alias("discount_applied"),
-        _pick(["USD", "EUR", "GBP"], F.col("l_suppkey") % 3).alias("currency"),
+        _pick(CURRENCIES, F.col("l_suppkey") % 3).alias("currency"),
         F.concat(F.lit("inv-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("invoice_id"),
-        _pick(["monthly", "quarterly", "annual"], F.col("l_partkey") % 3).alias("recurring_period"),
+        _pick(PERIODS, F.col("l_partkey") % 3).alias("recurring_period"),
         derive.due_date(event_time).alias("due_date"),
         (F.col("l_linestatus") == "O").alias("capital_utilization"),
         F.col("l_quantity").cast("bigint").alias("revenue_stability_score"),
@@ -146,28 +136,30 @@ def revenue_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = Fal
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spread_narrow_scan(read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props"), ["event_id"])
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     return e.withColumn(
         "k", F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0).cast("bigint")))
 
 
-def churn_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
+def churn_base(event_id: Column) -> Column:
+    """A risk to start from, 0.2000 to 0.7000 in steps of 0.0001."""
+    return _d("0.20") + (event_id % 5001).cast("decimal(18,0)") * _d("0.0001")
+
+
+def churn_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir).where(F.col("event_type") == "error")
     val = F.col("value").cast("decimal(18,2)")
     tickets = F.col("k") % 6
     drop = derive.clip(val, _d("0"), _d("100"))
     satisfaction = F.col("k") % 10 + 1
-    base = _d("0.20") + (F.col("event_id") % 51).cast("decimal(18,0)") * _d("0.01")
+    base = churn_base(F.col("event_id"))
+    raw = derive.churn_risk_raw(base, tickets, drop, satisfaction)
     risk = derive.churn_score(base, tickets, drop, satisfaction)
     reason = F.when(F.col("k") % 7 == 0, F.lit(None).cast("string")).otherwise(
         derive.high_risk_default(
-            risk, _pick(["pricing", "lack_of_feature", "competitor", "other"], F.col("event_id") % 4),
-            F.lit("none")))
+            raw, _pick(CHURN_REASONS, F.col("event_id") % 4), F.lit("none")))
     flag = F.when(F.col("k") % 11 == 0, F.lit(None).cast("boolean")).otherwise(
-        derive.high_risk_default(risk, F.col("event_id") % 2 == 1, F.lit(False)))
-    if inject_violations:
-        risk = F.when(F.col("user_id") % 37 == 0, _d("1.2")).otherwise(risk)
+        derive.high_risk_default(raw, F.col("event_id") % 2 == 1, F.lit(False)))
     out = e.select(
         F.col("event_id").cast("string").alias("churn_event_id"),
         F.col("user_id").cast("string").alias("user_id"),
@@ -185,13 +177,11 @@ def churn_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False
     return _finish(out, schemas.CHURN)
 
 
-def engagement_feed(spark: SparkSession, sf_dir: str, inject_violations: bool = False) -> DataFrame:
+def engagement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir).where(F.col("event_type") != "error")
     val = F.col("value").cast("decimal(18,2)")
     k = F.col("k")
     score = F.round(derive.clip(val, _d("1"), _d("100")), 0)
-    if inject_violations:
-        score = F.when(F.col("user_id") % 41 == 0, _d("101")).otherwise(score)
     inquiries = k % 4
     connected = k % 2 == 0
     etype = F.col("event_type")
@@ -227,10 +217,9 @@ FEED_BUILDERS = {
 }
 
 
-def load_feeds(spark: SparkSession, sf_dir: str, inject_violations: bool = False,
-               names=None) -> dict[str, DataFrame]:
+def load_feeds(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     """The feeds (all four, or ``names``) as lazily evaluated DataFrames."""
-    return {name: build(spark, sf_dir, inject_violations)
+    return {name: build(spark, sf_dir)
             for name, build in FEED_BUILDERS.items() if names is None or name in names}
 
 
@@ -240,9 +229,9 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    return c.join(bounded_broadcast(geo, GEO_MAX_ROWS), c.c_nationkey == geo.n_nationkey).select(
+    return c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_custkey").cast("string").alias("user_id"),
         F.col("r_name").alias("region"),
         F.col("c_mktsegment").alias("user_segment"),
-        _pick(["basic", "pro", "enterprise"], F.col("c_custkey") % 3).alias("default_plan"),
+        _pick(PLANS, F.col("c_custkey") % 3).alias("default_plan"),
     )

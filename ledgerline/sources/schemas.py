@@ -131,4 +131,3 @@ ENGAGEMENT = Feed(
 )
 
 FEEDS: dict[str, Feed] = {f.name: f for f in (SUBSCRIPTION, REVENUE, CHURN, ENGAGEMENT)}
-TOPIC_TO_TABLE: dict[str, str] = {f.topic: f.table for f in FEEDS.values()}

@@ -1,54 +1,9 @@
-"""Reading the driver's Parquet tables and size-checked broadcasts."""
+"""Reading the given Parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; callers select the columns they need so the scan is pruned."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-_BOUND_CHECKS: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1)`` count, which stops reading early on
-    a large input. Above the bound the frame is returned as is and the join
-    falls back to a shuffle join (AQE may still broadcast it at runtime if its
-    measured size is under ``spark.sql.autoBroadcastJoinThreshold``).
-
-    The outcome is remembered per (plan, input files, bound): Parquet files
-    are immutable, so the same plan over the same files has the same rows;
-    any added or replaced file changes the key and the count runs again.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _BOUND_CHECKS:
-        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _BOUND_CHECKS[key] else df
-
-
-def spread_narrow_scan(df: DataFrame, unique_keys) -> DataFrame:
-    """Spread a scan that has fewer input partitions than the session has cores.
-
-    A fact table stored as very few Parquet row groups is read by that many
-    tasks, however many cores there are, and every per-row step after the
-    scan runs in them. When the scan is that narrow, rows are hash-partitioned
-    on a unique row key (each key holds one row, so no key can be hot) across
-    ``defaultParallelism`` partitions. Scans with at least that many input
-    partitions - any large table on a cluster - are returned unchanged, so no
-    raw-data shuffle is added at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *unique_keys)

@@ -3,7 +3,8 @@
 ``publish_files`` writes one JSON text per line into a landing folder (what
 the file-stream ingest reads); ``publish_kafka`` writes the same text as the
 message value to a topic, keyed by user so one user's events stay ordered
-within a partition. Kafka needs the spark-sql-kafka connector on the
+within a partition. Rows with a NULL event id go out like all others; ingest
+puts them into quarantine. Kafka needs the spark-sql-kafka connector on the
 classpath.
 """
 
@@ -17,13 +18,14 @@ from ledgerline.sources.schemas import Feed
 
 
 def publish_files(df: DataFrame, feed: Feed, path: str, mode: str = "append") -> None:
-    encode_events(df.where(F.col(feed.pk).isNotNull()), feed).write.mode(mode).text(path)
+    encode_events(df, feed).write.mode(mode).text(path)
+
+
+def kafka_options(feed: Feed, bootstrap_servers: str, topic: str | None = None) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic or feed.topic}
 
 
 def publish_kafka(df: DataFrame, feed: Feed, bootstrap_servers: str, topic: str | None = None) -> None:
-    msgs = encode_events(df.where(F.col(feed.pk).isNotNull()), feed,
+    msgs = encode_events(df, feed,
                          keep=[F.col("user_id").cast("string").alias("key")])
-    (msgs.write.format("kafka")
-     .option("kafka.bootstrap.servers", bootstrap_servers)
-     .option("topic", topic or feed.topic)
-     .save())
+    msgs.write.format("kafka").options(**kafka_options(feed, bootstrap_servers, topic)).save()

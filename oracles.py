@@ -1,14 +1,13 @@
 """DuckDB SQL for each registered query (the cross-engine correctness gate).
 
-Written independently of the Spark code, in plain SQL over the driver's
-views (orders, lineitem, customer, nation, region, events). The feed CTEs
-restate the derivation rules of ``ledgerline.sources.feeds``; the models
-follow the source SQL's own shape (join, then regroup), so they also check
-the Spark plans' rewrites (reduce-before-join, stacked roll-up).
+Written from the models' definitions, in plain SQL over the driver's views
+(orders, lineitem, customer, nation, region, events). The feed CTEs restate
+the derivation rules of ``ledgerline.sources.feeds``.
 
 Dialect notes: EXTRACT is BIGINT in DuckDB (cast to INTEGER), SUM(BIGINT) is
-HUGEINT (cast to BIGINT), means are exact decimal sums / count as DOUBLE,
-ANY_VALUE is the least (order..., values...) struct, as in the Spark code.
+HUGEINT (cast to BIGINT). A mean of NUMERIC is NUMERIC: whole billionths are
+summed as integers and divided half up. ANY_VALUE is the least (order...,
+values...) struct, as in the Spark code.
 """
 
 from __future__ import annotations
@@ -19,13 +18,15 @@ DATA_SPINE = ("1995-01-01", "2024-12-01")
 
 def _cte_sub(inject: bool) -> str:
     annual = "round(CAST(o.o_totalprice AS DECIMAL(18,2)) * 12, 2)"
+    user = "CAST(o.o_custkey AS VARCHAR)"
     if inject:
+        user = f"CASE WHEN o.o_orderkey % 499 <> 3 THEN {user} END"
         annual = f"CASE WHEN o.o_orderkey % 997 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE {annual} END"
     return f"""
 sub AS (
   SELECT
     CAST(o.o_orderkey AS VARCHAR) AS subscription_id,
-    CAST(o.o_custkey AS VARCHAR) AS user_id,
+    {user} AS user_id,
     CAST(o.o_orderdate AS TIMESTAMP) AS event_time,
     CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,9)) AS subscription_amount,
     CASE o.o_orderstatus WHEN 'O' THEN 'new_subscription' WHEN 'F' THEN 'renewal'
@@ -36,10 +37,10 @@ sub AS (
     c.c_mktsegment AS user_segment,
     CAST((o.o_orderkey % 5 + 1) * 12 AS BIGINT) AS contract_length_months,
     c.c_acctbal > 0 AS capital_eligibility,
-    CAST(CAST(o.o_orderkey % 201 - 100 AS DECIMAL(18,0)) * 0.01 AS DECIMAL(38,9)) AS growth_rate,
+    CAST(CAST(o.o_orderkey % 2001 - 1000 AS DECIMAL(18,0)) * 0.001 AS DECIMAL(38,9)) AS growth_rate,
     CAST({annual} AS DECIMAL(38,9)) AS annualized_revenue,
     o.o_orderstatus = 'F' AS billing_connection_status,
-    CAST(CAST(o.o_custkey % 101 - 50 AS DECIMAL(18,0)) * 0.02 AS DECIMAL(38,9)) AS customer_growth_rate,
+    CAST(CAST(o.o_orderkey % 10007 - 5003 AS DECIMAL(18,0)) * 0.00012345 AS DECIMAL(38,9)) AS customer_growth_rate,
     CAST(o.o_orderkey % 100 + 1 AS BIGINT) AS bank_connection_quality
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -102,7 +103,7 @@ ev AS (
 
 
 def _cte_churn(inject: bool) -> str:
-    risk_out = "CASE WHEN user_id % 37 = 0 THEN CAST(1.2 AS DECIMAL(38,9)) ELSE risk END" if inject else "risk"
+    risk_out = "CASE WHEN user_id % 37 = 0 THEN CAST(1.004 AS DECIMAL(38,9)) ELSE risk END" if inject else "risk"
     return f"""
 churn_base AS (
   SELECT *,
@@ -110,14 +111,12 @@ churn_base AS (
     greatest(CAST(0 AS DECIMAL(18,2)), least(CAST(value AS DECIMAL(18,2)), CAST(100 AS DECIMAL(18,2))))
       AS drop_pct,
     k % 10 + 1 AS sat,
-    0.20 + CAST(event_id % 51 AS DECIMAL(18,0)) * 0.01 AS base
+    0.20 + CAST(event_id % 5001 AS DECIMAL(18,0)) * 0.0001 AS base
   FROM ev WHERE event_type = 'error'
 ),
 churn_scored AS (
-  SELECT *,
-    CAST(round(greatest(0, least(base + tickets * 0.1 + drop_pct * 0.005 - sat * 0.04, 1)), 2)
-         AS DECIMAL(38,9)) AS risk
-  FROM churn_base
+  SELECT *, CAST(round(raw_risk, 2) AS DECIMAL(38,9)) AS risk
+  FROM (SELECT *, greatest(0, least(base + tickets * 0.1 + drop_pct * 0.005 - sat * 0.04, 1)) AS raw_risk FROM churn_base)
 ),
 churn AS (
   SELECT
@@ -132,10 +131,10 @@ churn AS (
     CAST(sat AS BIGINT) AS satisfaction_score,
     event_id % 2 = 0 AS recent_capital_offer,
     CASE WHEN k % 7 = 0 THEN NULL
-         WHEN risk > 0.8 THEN (['pricing', 'lack_of_feature', 'competitor', 'other'])[event_id % 4 + 1]
+         WHEN raw_risk > 0.8 THEN (['pricing', 'lack_of_feature', 'competitor', 'other'])[event_id % 4 + 1]
          ELSE 'none' END AS cancellation_reason,
     CASE WHEN k % 11 = 0 THEN NULL
-         WHEN risk > 0.8 THEN event_id % 2 = 1
+         WHEN raw_risk > 0.8 THEN event_id % 2 = 1
          ELSE false END AS capital_withdrawal_flag
   FROM churn_scored
 )"""
@@ -178,7 +177,10 @@ def feeds_cte(inject: bool = False) -> str:
 
 
 def _mean(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(38,2))) AS DOUBLE) / count({col})"
+    """The mean of a DECIMAL(38,9) column, half up at nine places, by whole numbers."""
+    total, n = f"sum(CAST({col} * 1000000000 AS HUGEINT))", f"count({col})"
+    return (f"CASE WHEN {n} > 0 THEN CAST(CAST(sign({total}) * ((abs({total}) * 2 + {n}) // (2 * greatest({n}, 1))) "
+            f"AS DECIMAL(28,0)) * 0.000000001 AS DECIMAL(38,9)) END")
 
 
 def _imean(col: str) -> str:
@@ -275,41 +277,51 @@ calendar AS (
 
 
 D38 = "CAST(0 AS DECIMAL(38,9))"
-_FILL = {"s": "'N/A'", "d": D38, "f": "0.0", "i": "CAST(0 AS BIGINT)", "b": "FALSE"}
-# (roll-up alias, fill kind, columns) for the filled model columns, in output order.
-_FILLED = [
-    ("sub", "s", "subscription_plan region user_segment"),
-    ("sub", "f", "avg_growth_rate"), ("sub", "d", "total_annualized_revenue"),
-    ("sub", "f", "avg_customer_growth_rate"),
-    ("rev", "d", "total_payment_amount"), ("rev", "f", "avg_revenue_stability_score"),
-    ("rev", "d", "total_advance_amount"), ("rev", "s", "repayment_status revenue_trend"),
-    ("rev", "f", "avg_revenue_volatility"), ("rev", "s", "payment_delinquency"),
-    ("ch", "f", "avg_churn_risk avg_customer_tenure avg_last_activity_gap"),
-    ("ch", "i", "total_support_ticket_count"),
-    ("ch", "f", "avg_usage_drop_percentage avg_satisfaction_score"),
-    ("ch", "s", "cancellation_reason"), ("ch", "b", "capital_withdrawal_flag"),
-    ("eng", "f", "avg_engagement_score avg_session_duration"),
-    ("eng", "i", "total_login_count total_financing_inquiries total_feature_interaction_count "
-                 "total_capital_access_count"),
+# The model's columns after its keys, each with what an empty month shows.
+FILLED_COLUMNS = [
+    ("subscription_plan", "'N/A'"),
+    ("region", "'N/A'"),
+    ("user_segment", "'N/A'"),
+    ("avg_growth_rate", D38),
+    ("total_annualized_revenue", D38),
+    ("avg_customer_growth_rate", D38),
+    ("total_payment_amount", D38),
+    ("avg_revenue_stability_score", "0.0"),
+    ("total_advance_amount", D38),
+    ("repayment_status", "'N/A'"),
+    ("revenue_trend", "'N/A'"),
+    ("avg_revenue_volatility", D38),
+    ("payment_delinquency", "'N/A'"),
+    ("avg_churn_risk", D38),
+    ("avg_customer_tenure", "0.0"),
+    ("avg_last_activity_gap", "0.0"),
+    ("total_support_ticket_count", "CAST(0 AS BIGINT)"),
+    ("avg_usage_drop_percentage", D38),
+    ("avg_satisfaction_score", "0.0"),
+    ("cancellation_reason", "'N/A'"),
+    ("capital_withdrawal_flag", "FALSE"),
+    ("avg_engagement_score", "0.0"),
+    ("avg_session_duration", D38),
+    ("total_login_count", "CAST(0 AS BIGINT)"),
+    ("total_financing_inquiries", "CAST(0 AS BIGINT)"),
+    ("total_feature_interaction_count", "CAST(0 AS BIGINT)"),
+    ("total_capital_access_count", "CAST(0 AS BIGINT)"),
 ]
-SUMMARY_SELECT = ",\n  ".join(
-    ["cal.user_id", "cal.year", "cal.month", "cal.month_year"]
-    + [f"COALESCE({alias}.{col}, {_FILL[kind]}) AS {col}"
-       for alias, kind, cols in _FILLED for col in cols.split()])
 
 
-def summary_cte(spine, inject: bool = False) -> str:
-    """WITH-list body ending in ``customer_summary``."""
+def summary_cte(spine, inject: bool = False, feeds: str | None = None) -> str:
+    """WITH-list body ending in ``customer_summary``: the grid, and beside each cell what the roll-ups have for it."""
+    filled = ", ".join(f"coalesce({c}, {fill}) AS {c}" for c, fill in FILLED_COLUMNS)
     return ",".join([
-        feeds_cte(inject), users_cte(), calendar_cte(spine), agg_ctes(),
+        feeds or feeds_cte(inject), users_cte(), calendar_cte(spine), agg_ctes(),
         f"""
 customer_summary AS (
-  SELECT {SUMMARY_SELECT}
-  FROM calendar cal
-  LEFT JOIN agg_sub sub ON cal.user_id = sub.user_id AND cal.month = sub.month AND cal.year = sub.year
-  LEFT JOIN agg_rev rev ON cal.user_id = rev.user_id AND cal.month = rev.month AND cal.year = rev.year
-  LEFT JOIN agg_churn ch ON cal.user_id = ch.user_id AND cal.month = ch.month AND cal.year = ch.year
-  LEFT JOIN agg_engage eng ON cal.user_id = eng.user_id AND cal.month = eng.month AND cal.year = eng.year
+  SELECT user_id, year, month, month_year, {filled}
+  FROM calendar
+  LEFT JOIN agg_sub USING (user_id, year, month)
+  LEFT JOIN agg_rev USING (user_id, year, month)
+  LEFT JOIN agg_churn USING (user_id, year, month)
+  LEFT JOIN agg_engage USING (user_id, year, month)
 )"""])
 
 
@@ -344,34 +356,25 @@ sub_ts AS (
 )"""
 
 
-def _s(col: str) -> str:
-    return f"arg_min_null(s.{col}, s.event_time) AS {col}"
-
-
-def _r(col: str) -> str:
-    return f"arg_min_null(r.{col}, r.event_time) AS {col}"
-
-
 def srs_cte(inject: bool = False) -> str:
-    """WITH-list body ending in ``subscription_revenue_summary`` (join, then regroup)."""
-    sub_cols = ["subscription_plan", "region", "user_segment", "avg_growth_rate",
-                "total_annualized_revenue", "avg_customer_growth_rate"]
-    rev_cols = ["total_payment_amount", "avg_revenue_stability_score", "total_advance_amount",
-                "repayment_status", "revenue_trend", "avg_revenue_volatility", "payment_delinquency",
-                "capital_utilization", "capital_offer_accepted"]
-    picks = ",\n    ".join([_s(c) for c in sub_cols] + [_r(c) for c in rev_cols])
-    return ",".join([feeds_cte(inject), ts_ctes(), f"""
+    """WITH-list body ending in ``subscription_revenue_summary``.
+
+    Of a user's subscription times in a month, and of the revenue times on a day, the first
+    stands for all; a revenue day is kept if its month has a subscription.
+    """
+    return ",".join([feeds_cte(inject), ts_ctes(), """
+first_sub AS (
+  SELECT * EXCLUDE (event_time, nth)
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, year, month ORDER BY event_time) AS nth FROM sub_ts)
+  WHERE nth = 1
+),
+first_rev AS (
+  SELECT * EXCLUDE (event_time, nth), date_trunc('day', event_time) AS event_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', event_time) ORDER BY event_time) AS nth FROM rev_ts)
+  WHERE nth = 1
+),
 subscription_revenue_summary AS (
-  SELECT
-    coalesce(s.user_id, r.user_id) AS user_id,
-    date_trunc('day', coalesce(r.event_time, s.event_time)) AS event_date,
-    s.year AS year,
-    s.month AS month,
-    strftime(coalesce(r.event_time, s.event_time), '%Y-%m') AS month_year,
-    {picks}
-  FROM sub_ts s
-  JOIN rev_ts r ON r.user_id = s.user_id AND s.month = r.month AND s.year = r.year
-  GROUP BY 1, 2, 3, 4, 5
+  SELECT *, strftime(event_date, '%Y-%m') AS month_year FROM first_rev JOIN first_sub USING (user_id, year, month)
 )"""])
 
 
@@ -386,20 +389,21 @@ def build() -> dict[str, str]:
     q["customer_summary_stacked"] = q["customer_summary"]
     q["customer_summary_star"] = q["customer_summary"]
     q["customer_summary_reference_spine"] = _with(summary_cte(REF_SPINE), "SELECT * FROM customer_summary")
-    q["summary_sorted"] = _with(summary_cte(DATA_SPINE),
-                                "SELECT * FROM customer_summary ORDER BY user_id, year, month, month_year")
+    q["summary_sorted"] = _with(
+        summary_cte(DATA_SPINE),
+        "SELECT *, row_number() OVER (ORDER BY user_id, year, month, month_year) AS row_no FROM customer_summary")
+    moved = (", moved_churn AS (SELECT * REPLACE (event_time - INTERVAL 312 MONTH AS event_time) FROM churn)"
+             ", moved_eng AS (SELECT * REPLACE (event_time - INTERVAL 312 MONTH AS event_time) FROM eng)")
+    body = summary_cte(DATA_SPINE, feeds=feeds_cte() + moved)
+    q["customer_summary_all_feeds"] = _with(
+        body.replace("FROM churn GROUP", "FROM moved_churn GROUP").replace("FROM eng GROUP", "FROM moved_eng GROUP"),
+        "SELECT * FROM customer_summary")
     q["customer_month_slice"] = _with(
         ",".join([feeds_cte(), "\nsub_users AS (SELECT DISTINCT user_id FROM sub)",
                   calendar_cte(DATA_SPINE, "sub_users"), agg_ctes()]),
-        """SELECT cal.user_id, cal.year, cal.month, cal.month_year,
-  COALESCE(sub.subscription_plan, 'N/A') AS subscription_plan,
-  COALESCE(sub.region, 'N/A') AS region,
-  COALESCE(sub.user_segment, 'N/A') AS user_segment,
-  COALESCE(sub.avg_growth_rate, 0.0) AS avg_growth_rate,
-  COALESCE(sub.total_annualized_revenue, CAST(0 AS DECIMAL(38,9))) AS total_annualized_revenue,
-  COALESCE(sub.avg_customer_growth_rate, 0.0) AS avg_customer_growth_rate
-FROM calendar cal
-LEFT JOIN agg_sub sub ON cal.user_id = sub.user_id AND cal.month = sub.month AND cal.year = sub.year""")
+        "SELECT user_id, year, month, month_year, "
+        + ", ".join(f"coalesce({c}, {fill}) AS {c}" for c, fill in FILLED_COLUMNS[:6])
+        + " FROM calendar LEFT JOIN agg_sub USING (user_id, year, month)")
     q["subscription_revenue_summary"] = _with(srs_cte(), "SELECT * FROM subscription_revenue_summary")
     q["distinct_users"] = _with(",".join([feeds_cte(), users_cte()]), "SELECT * FROM distinct_users")
     q["month_spine"] = _with(",".join([feeds_cte(), users_cte(), calendar_cte(REF_SPINE)]),
@@ -419,6 +423,7 @@ CROSS JOIN unnest(generate_series(b.f, b.l, INTERVAL 1 DAY)) AS s(d)""")
 
 
 # --- audits -------------------------------------------------------------------
+# The audits' value sets and column lists.
 
 _IN = lambda col, vals: f"{col} NOT IN ({', '.join(repr(v) for v in vals)})"
 _STATUS = ("on_track", "delayed", "completed")
@@ -492,30 +497,45 @@ def _season(month: str) -> str:
             f"ELSE 'regular' END")
 
 
+def _digest(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+
+
 def more_queries() -> dict[str, str]:
     q = {}
     f = feeds_cte()
     q["json_ingest_valid"] = _with(
-        f, "SELECT * FROM sub WHERE CAST(subscription_id AS BIGINT) % 997 NOT IN (1, 2, 3, 4, 5)")
-    q["json_ingest_rejects"] = _with(f, """SELECT subscription_id,
-  CASE CAST(subscription_id AS BIGINT) % 997 WHEN 2 THEN 'missing:user_id'
-       WHEN 5 THEN 'bad_timestamp:event_time' ELSE 'malformed' END AS reason
-FROM sub WHERE CAST(subscription_id AS BIGINT) % 997 IN (1, 2, 3, 4, 5)""")
-    q["replay_dedup"] = _with(f, "SELECT * FROM rev")
+        f, "SELECT * FROM sub WHERE CAST(subscription_id AS BIGINT) % 997 NOT BETWEEN 1 AND 8")
+    q["json_ingest_rejects"] = _with(f, """SELECT CASE r WHEN 8 THEN '' ELSE subscription_id END AS subscription_id,
+  CASE WHEN r = 2 THEN 'missing:user_id' WHEN r = 8 THEN 'missing:subscription_id'
+       WHEN r IN (5, 6, 7) THEN 'bad_timestamp:event_time' ELSE 'malformed' END AS reason
+FROM (SELECT subscription_id, CAST(subscription_id AS BIGINT) % 997 AS r FROM sub) WHERE r BETWEEN 1 AND 8""")
+    q["replay_dedup"] = _with(f, """SELECT * EXCLUDE (nth) FROM (
+  SELECT *, row_number() OVER (PARTITION BY revenue_id ORDER BY user_id, event_time, payment_amount, payment_method,
+    discount_applied, currency, invoice_id, recurring_period, due_date, capital_utilization, revenue_stability_score,
+    advance_amount, repayment_percentage, repayment_status, revenue_trend, revenue_volatility, capital_offer_accepted,
+    payment_delinquency) AS nth FROM rev)
+WHERE nth = 1""")
     q["stream_ingest_roundtrip"] = _with(f, "SELECT * FROM eng")
+    q["stream_ingest_tables"] = _with(f, " UNION ALL ".join(f"""SELECT '{table}' AS table_name,
+  count(*) FILTER (ok) AS n_rows,
+  CAST(coalesce(sum({_digest(f"concat_ws('|', {pk}, user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S'))")}) FILTER (ok), 0) AS BIGINT) AS digest,
+  count(*) FILTER (NOT ok) AS n_rejects, count(*) FILTER (no_id) AS without_id, count(*) FILTER (no_user) AS without_user
+FROM (SELECT *, NOT no_id AND NOT no_user AS ok FROM (
+  SELECT *, {_digest(pk)} % 97 = 1 AS no_id, {_digest(pk)} % 101 = 1 AS no_user FROM {feed}))"""
+        for feed, pk, table in (
+            ("sub", "subscription_id", "raw_subscription_events"), ("rev", "revenue_id", "raw_revenue_events"),
+            ("churn", "churn_event_id", "raw_churn_events"), ("eng", "engagement_id", "raw_customer_engagement_events"))))
     q["restate_month"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
+    q["restate_new_users"] = q["restate_month"]
+    q["restate_revenue_months"] = _with(srs_cte(), "SELECT * FROM subscription_revenue_summary")
+    q["rebuild_revenue"] = q["restate_revenue_months"]
     q["derived_subscription"] = _with(f, f"""SELECT subscription_id,
   CAST(round(CAST(subscription_amount AS DECIMAL(18,2)) * 12, 2) AS DECIMAL(38,9)) AS annualized,
-  CAST(CASE subscription_plan WHEN 'enterprise' THEN 7000 + u * 5000
-                              WHEN 'pro' THEN 3000 + u * 5000
-                              ELSE 500 + u * 3500 END AS DECIMAL(38,9)) AS plan_amount,
-  {_season('m')} AS season,
-  CAST(CASE WHEN m IN (11, 12) THEN 1.2 + u * 0.4 WHEN m IN (6, 7, 8) THEN 0.6 + u * 0.3
-            ELSE 0.8 + u * 0.4 END AS DECIMAL(38,9)) AS season_multiplier,
-  CAST(greatest(-0.5, least(growth_rate, 0.5)) AS DECIMAL(38,9)) AS clipped_growth_rate,
-  CASE subscription_plan WHEN 'enterprise' THEN 9 WHEN 'pro' THEN 8 ELSE 7 END AS payment_log_mean
-FROM (SELECT *, CAST(bank_connection_quality - 1 AS DECIMAL(10,0)) * 0.01 AS u,
-             CAST(extract(month FROM event_time) AS INTEGER) AS m FROM sub)""")
+  {_season('extract(month FROM event_time)')} AS season,
+  CASE WHEN CAST(subscription_id AS BIGINT) % 11 <> 0
+       THEN CAST(greatest(-0.5, least(growth_rate, 0.5)) AS DECIMAL(38,9)) END AS clipped_growth_rate
+FROM sub""")
     q["derived_revenue"] = _with(f, f"""SELECT revenue_id,
   event_time + INTERVAL 30 DAY AS due_date_rule,
   CASE WHEN strftime(event_time, '%f') = '000000' THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S UTC')
@@ -525,12 +545,15 @@ FROM (SELECT *, CAST(bank_connection_quality - 1 AS DECIMAL(10,0)) * 0.01 AS u,
        THEN (CASE WHEN capital_utilization THEN 'payment_failure' ELSE 'no_payment' END)
        ELSE 'no_delinquency' END AS delinquency_rule
 FROM rev WHERE payment_method IS NOT NULL""")
-    q["derived_churn"] = _with(f, """SELECT churn_event_id, score AS churn_score_rule,
-  CASE WHEN score > 0.8 THEN 'other' ELSE 'none' END AS reason_rule
-FROM (SELECT churn_event_id,
-        CAST(round(greatest(0, least(0.45 + support_ticket_count * 0.1
-                                     + CAST(usage_drop_percentage AS DECIMAL(18,2)) * 0.005
-                                     - satisfaction_score * 0.04, 1)), 2) AS DECIMAL(38,9)) AS score
+    q["derived_churn"] = _with(f, """SELECT churn_event_id,
+  CAST(round(raw_risk, 2) AS DECIMAL(38,9)) AS churn_score_rule,
+  CASE WHEN raw_risk > 0.8 THEN 'other' ELSE 'none' END AS reason_rule,
+  CASE WHEN raw_risk > 0.8 THEN id % 2 = 1 ELSE false END AS withdrawal_rule
+FROM (SELECT churn_event_id, CAST(churn_event_id AS BIGINT) AS id,
+        CASE WHEN CAST(churn_event_id AS BIGINT) % 13 <> 0 THEN
+          greatest(0, least(0.20 + CAST(CAST(churn_event_id AS BIGINT) % 5001 AS DECIMAL(18,0)) * 0.0001
+                            + support_ticket_count * 0.1 + CAST(usage_drop_percentage AS DECIMAL(18,2)) * 0.005
+                            - satisfaction_score * 0.04, 1)) END AS raw_risk
       FROM churn)""")
     q["derived_engagement"] = _with(f, """SELECT engagement_id,
   CAST(CASE WHEN financing_inquiries = 0 THEN 0 ELSE financing_conversion_rate END AS DECIMAL(38,9))

@@ -1,4 +1,4 @@
-"""Corrected golden cases (see FIXTURES.md section 3) and row builders."""
+"""Corrected golden cases (see FIXTURES.md section 3; the row values are fixed) and row builders."""
 
 from ledgerline.sources import schemas
 from ledgerline.sources.inline import feed_from_rows

@@ -37,10 +37,25 @@ def test_rules_match_python(spark, data):
         derive.clip("sat", 3, 8).alias("clipped"),
         derive.guarded_rate("tickets", F.lit(Decimal("0.25"))).alias("rate"),
     ).collect()
-    for (base, tickets, drop, sat, month, status, failed), r in zip(data, out):
+    for (base, tickets, drop, sat, month, status, failed), r in zip(data, out, strict=True):
         assert r.score == _score(base, tickets, drop, sat)
         assert r.season == ("holiday" if month in (11, 12) else "summer" if month in (6, 7, 8) else "regular")
         assert r.delinq == (("payment_failure" if failed else "no_payment") if status == "delayed"
                             else "no_delinquency")
         assert r.clipped == max(3, min(sat, 8))
         assert r.rate == (Decimal(0) if tickets == 0 else Decimal("0.25"))
+
+
+def test_null_inputs_give_null_scores(spark):
+    df = spark.createDataFrame([(None, 1, 2.0, 3), (0.5, None, 2.0, 3), (0.5, 1, None, 3), (0.5, 1, 2.0, None), (0.9, 5, 100.0, 1)],
+                               "base double, tickets int, drop double, sat int")
+    got = [r[0] for r in df.select(derive.churn_score("base", "tickets", "drop", "sat")).collect()]
+    assert got == [None] * 4 + [Decimal(1)]
+    assert df.select(derive.clip(F.lit(None).cast("int"), 0, 100)).first()[0] is None
+
+
+def test_high_risk_is_tested_before_rounding(spark):
+    df = spark.createDataFrame([(Decimal("0.8040"),), (Decimal("0.8000"),), (Decimal("0.7960"),)], "base decimal(12,4)")
+    raw = derive.churn_risk_raw("base", F.lit(0), F.lit(0), F.lit(0))
+    got = df.select(derive.churn_score("base", F.lit(0), F.lit(0), F.lit(0)), derive.high_risk_default(raw, F.lit("other"), F.lit("none"))).collect()
+    assert [tuple(r) for r in got] == [(Decimal("0.80"), "other"), (Decimal("0.80"), "none"), (Decimal("0.80"), "none")]

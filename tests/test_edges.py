@@ -109,6 +109,15 @@ def test_e10_timestamp_forms(spark):
     valid, rejects = _decode(spark, texts)
     assert rejects.count() == 0
     assert {r.event_time for r in valid.collect()} == {dt.datetime(2024, 1, 15)}
+    texts = [good.replace("2024-01-15T00:00:00 UTC", form) for form in ("12:30:00", "T10:00", "2024", "2024-01", "2024-01-15", "")]
+    valid, rejects = _decode(spark, texts)
+    assert valid.count() == 0 and {r.reason for r in rejects.collect()} == {"bad_timestamp:event_time"}
+
+
+def test_e8_rows_of_one_id_that_differ_keep_the_least(spark):
+    rows = [with_(REV_A, payment_amount=x) for x in (7.0, 5.0, 9.0)]
+    for order in (rows, rows[::-1]):
+        assert dedup.dedup_by_key(feed_from_rows(spark, schemas.REVENUE, order), ["revenue_id"]).first().payment_amount == 5
 
 
 def test_e11_null_status(spark):

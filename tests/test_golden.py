@@ -11,7 +11,7 @@ from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 
 def test_case_a_customer_summary(spark):
     f = feeds(spark, [SUB_A], [REV_A], [CHURN_A], [ENG_A])
-    for form in ("star", "stacked"):
+    for form in ("grid", "star", "stacked"):
         rows = customer_summary(f, form=form).collect()
         assert len(rows) == 84
         jan = [r for r in rows if (r.year, r.month) == (2024, 1)]
@@ -19,16 +19,16 @@ def test_case_a_customer_summary(spark):
         r = jan[0].asDict()
         assert r["month_year"] == "2024-01"
         assert (r["subscription_plan"], r["region"], r["user_segment"]) == ("pro", "North America", "SMB")
-        assert r["avg_growth_rate"] == 0.5
+        assert r["avg_growth_rate"] == Decimal("0.5")
         assert r["total_annualized_revenue"] == Decimal("24000")
-        assert r["avg_customer_growth_rate"] == 0.1
+        assert r["avg_customer_growth_rate"] == Decimal("0.1")
         assert r["total_payment_amount"] == Decimal("5000")
         assert r["avg_revenue_stability_score"] == 90.0
         assert r["total_advance_amount"] == Decimal("10000")
         assert (r["repayment_status"], r["revenue_trend"], r["payment_delinquency"]) == (
             "on_track", "stable", "no_delinquency")
-        assert r["avg_revenue_volatility"] == 0.2
-        assert r["avg_churn_risk"] == 0.3
+        assert r["avg_revenue_volatility"] == Decimal("0.2")
+        assert r["avg_churn_risk"] == Decimal("0.3")
         assert (r["avg_customer_tenure"], r["avg_last_activity_gap"]) == (200.0, 10.0)
         assert r["total_support_ticket_count"] == 1
         assert r["avg_usage_drop_percentage"] == 10.0
@@ -67,15 +67,15 @@ def test_case_b(spark):
     assert (r["year"], r["month"], r["month_year"]) == (2025, 2, "2025-02")
     assert (r["subscription_plan"], r["region"], r["user_segment"]) == (
         "enterprise", "North America", "Enterprise")
-    assert r["avg_growth_rate"] == 0.75
+    assert r["avg_growth_rate"] == Decimal("0.75")
     assert r["total_annualized_revenue"] == Decimal("14400")
-    assert r["avg_customer_growth_rate"] == 0.8
+    assert r["avg_customer_growth_rate"] == Decimal("0.8")
     assert r["total_payment_amount"] == Decimal("1200")
     assert r["avg_revenue_stability_score"] == 85.0
     assert r["total_advance_amount"] == Decimal("0")
     assert (r["repayment_status"], r["revenue_trend"], r["payment_delinquency"]) == (
         "on_track", "stable", "no_delinquency")
-    assert r["avg_revenue_volatility"] == 0.1
+    assert r["avg_revenue_volatility"] == Decimal("0.1")
     assert r["capital_utilization"] is False and r["capital_offer_accepted"] is False
     # The event is after the grid's last month: 84 filler rows only.
     grid = customer_summary(f).collect()

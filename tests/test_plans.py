@@ -13,7 +13,6 @@ from ledgerline.plans.catalog import QUERIES
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 from ledgerline.session import work_dir
 from ledgerline.sources.feeds import churn_feed
-from ledgerline.sources.tables import bounded_broadcast
 from ledgerline.streaming.ingest import with_partitions
 
 
@@ -50,11 +49,36 @@ def test_no_python_in_model_plans(spark, sf_small):
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
 
-def test_broadcast_only_under_the_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 100)._jdf.queryExecution().logical().toString().lower()
+def test_feeds_are_scanned_once(spark, sf_small):
+    """Model 1 reads each feed's tables once; building it runs no job but one a table for its schema."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building a query")
+    df = QUERIES["customer_summary"](spark, sf_small)
+    assert len(tracker.getJobIdsForGroup("building")) <= 8
+    spark.sparkContext.setJobGroup("other", "other")
+    assert _plan(df).count("FileScan parquet") == 8 and _plan(df).count("CartesianProduct") == 0
+
+
+def test_mean_keeps_all_places(spark):
+    from ledgerline.functions.picks import decimal_mean
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("0.125",), ("0.125",), ("0.126",)], "x string").select(F.col("x").cast("decimal(38,9)"))
+    out = df.agg(decimal_mean("x").alias("m"))
+    assert dict(out.dtypes)["m"] == "decimal(38,9)" and out.first()["m"] == Decimal("0.125333333")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ledgerline.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))
 
 
 def _brute_force_m2(subs, revs):
