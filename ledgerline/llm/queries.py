@@ -23,7 +23,7 @@ def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = stored(warc.read_warc(spark, out), "warc_read")
     kept = read.where("record_type = 'response'").groupBy(F.col("record_id").alias("kept_id")).agg(F.max("source_id").alias("refers_to"))
     return read.join(kept, F.col("refers_to_id") == F.col("kept_id"), "left").select(
-        F.col("source_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "date", "record_id")
+        F.col("source_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,20 +87,19 @@ QUERIES = {
     )
 }
 
-_B32 = "translate(" + " || ".join(
-    "lpad(({0} >> 15 & 31)::varchar, 2, '0') || lpad(({0} >> 10 & 31)::varchar, 2, '0') || lpad(({0} >> 5 & 31)::varchar, 2, '0') || lpad(({0} & 31)::varchar, 2, '0')".format(
-        f"('0x' || substr(sha1(p), {1 + 5 * i}, 5))::bigint") for i in range(8)) + ", '', '')"
-
 _OP1 = f"""
-with letters as (select page_id, coalesce(html, '') p, strlen(coalesce(html, '')) payload_bytes, {_B32} as numbers from pages),
+with payloads as (select page_id, encode(coalesce(html, '')) p from pages),
+pieces as (
+  select page_id, octet_length(p) payload_bytes,
+    list_transform(range(8), lambda i: ('0x' || substr(sha1(p), (1 + 5 * i)::int, 5))::bigint) twenty_bits from payloads),
 named as (
-  select page_id, payload_bytes, array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + substr(numbers, 1 + 2 * i, 2)::int, 1)), '') payload_digest
-  from letters),
-kept as (select payload_digest, max(page_id) last_id from named where payload_bytes >= {WARC_MIN_BYTES} group by 1),
-known as (select page_id, max(url) uri from pages group by 1)
+  select page_id, payload_bytes::bigint payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + ((twenty_bits[1 + i // 4] >> (15 - 5 * (i % 4))::int) & 31))::int, 1)), '') payload_digest
+  from pieces),
+kept as (select payload_digest, max(page_id) last_id from named where payload_bytes >= {WARC_MIN_BYTES} group by 1)
 select page_id, payload_bytes, payload_digest,
-  case when page_id < last_id then 'revisit' else 'response' end record_type,
-  case when page_id < last_id then last_id end refers_to
+  case when payload_bytes >= {WARC_MIN_BYTES} and page_id < last_id then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= {WARC_MIN_BYTES} and page_id < last_id then last_id end refers_to
 from named left join kept using (payload_digest)
 """
 
@@ -179,5 +178,5 @@ select page_id, host, path, rule,
 from r left join g on r.node = g.node
 """
 
-#: op10's SQL has no declared links: no page of the given tables declares one (tests hold them against a brute-force search).
-ORACLES = {"op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10}
+#: Where SQL can express an operator. op10's has no declared links: no page of the given tables declares one (tests hold them against a brute-force search).
+ORACLES = {"op1_arc_to_warc": _OP1, "op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10}

@@ -8,7 +8,12 @@ segment's value, and looks up every value in the small Hamming ball around its
 own; what it finds is compared over all 64 bits inside the join's condition.
 
 Equal fingerprints are one node of the graph, whatever their number, so exact
-copies never form pairs. Links and components stay in Spark tables.
+copies never form pairs. Before the lookups, fingerprints that agree outside one
+block of ``radius`` neighbouring bits are merged: they are within the radius
+of each other, at most 2 ** radius share a block's key, and one is linked to each
+of the others, so a dense cloud of near copies shrinks to few groups at a linear
+price. The lookups then only return links between different groups. Links and
+components stay in Spark tables.
 
 Nulls and odd rows: a null text counts as empty; a text without words has
 fingerprint zero; a null doc_id is linked like any other but never names a
@@ -73,23 +78,37 @@ def ball(width: int, radius: int) -> list[int]:
     return [sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
+def block_links(nodes: DataFrame, radius: int = 3) -> DataFrame:
+    """(a, b): of the fingerprints (column fp) that differ in one block of ``radius`` bits only, the least with each other one."""
+    outside = [((1 << BITS) - 1) & ~(((1 << radius) - 1) << at) for at in range(0, BITS, radius)]
+    masks = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long") for m in outside])
+    keys = nodes.select("fp", F.posexplode(masks).alias("block", "mask")).select("fp", "block", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+    # A key has 2 ** radius fingerprints at most, for they are all different.
+    groups = keys.groupBy("block", "key").agg(F.sort_array(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
+    return groups.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, 1 << radius)).alias("b"))
+
+
 def links(nodes: DataFrame, radius: int = 3, segments: int = 2) -> DataFrame:
     """(a, b), a < b: the pairs of different fingerprints (column fp) within ``radius`` bits.
 
-    With two segments of 32 bits, a ball has 33 values, and chance agreements
-    are one in 4 billion: lookups grow as the number of fingerprints.
+    With a column ``group``, only pairs of different groups. With two segments of
+    32 bits, a ball has 33 values, and chance agreements are one in 4 billion:
+    lookups grow as the number of fingerprints.
     """
     width = BITS // segments
     low = (1 << width) - 1
     found = None
+    if "group" not in nodes.columns:
+        nodes = nodes.withColumn("group", F.col("fp"))
     for s in range(segments):
         value = F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit(low))
-        table = nodes.select(F.col("fp").alias("b"), value.alias("value"))
+        table = nodes.select(F.col("fp").alias("b"), F.col("group").alias("group_b"), value.alias("value"))
         masks = F.array(*[F.lit(m).cast("long") for m in ball(width, radius // segments)])
-        looks = nodes.select(F.col("fp").alias("a"), value.alias("own"), F.explode(masks).alias("mask"))
-        looks = looks.select("a", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        looks = nodes.select(F.col("fp").alias("a"), F.col("group").alias("group_a"), value.alias("own"), F.explode(masks).alias("mask"))
+        looks = looks.select("a", "group_a", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-        got = looks.join(table, (looks["value"] == table["value"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
+        other = (F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b"))
+        got = looks.join(table, (looks["value"] == table["value"]) & other & near).select("a", "b", "group_a", "group_b")
         found = got if found is None else found.unionByName(got)
     return found
 
@@ -98,9 +117,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, segments:
     """(doc_id, row_hash, fp, component, component_id) of every row; component_id is the least doc_id reachable over links, component a fingerprint of it."""
     rows = stored(fingerprints(docs, words, seed), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    member = components(links(nodes.select("fp"), radius, segments)).withColumnRenamed("node", "fp")
-    named = nodes.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = stored(named, "members")
+    merged = components(block_links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    nodes = stored(nodes.join(merged, "fp", "left").withColumn("group", F.coalesce("group", "fp")), "groups")
+    between = links(nodes.select("fp", "group"), radius, segments).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    member = components(between.distinct()).withColumnRenamed("node", "group")
+    named = stored(nodes.join(member, "group", "left").withColumn("component", F.coalesce("component", "group")), "members")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return rows.join(named.join(least, "component").select("fp", "component", "component_id"), "fp")
 
