@@ -3,7 +3,9 @@
 Monthly roll-ups (one row per user, year, month) feed the customer summary;
 per-timestamp roll-ups (one row per user, exact event time) feed the
 subscription/revenue summary. Year and month depend only on the timestamp,
-so they are derived before grouping and need no extra work.
+so they are derived before grouping and need no extra work. The per-timestamp
+roll-ups group by them too, though the timestamp decides them, so that rows
+already dealt by (user, year, month) need no further shuffle.
 
 Every aggregate here is partially aggregated in each task before the shuffle,
 so a user holding a large share of the rows sends at most one partial row
@@ -28,6 +30,9 @@ REV_TS_PICKS = ["capital_utilization", "repayment_status", "revenue_trend",
 
 
 def with_month(df: DataFrame, ts: str = "event_time") -> DataFrame:
+    """df with the year and month of its timestamp; columns of these names are kept, so that rows dealt by them stay dealt."""
+    if {"year", "month"} <= set(df.columns):
+        return df
     return df.withColumn("year", year_of(ts)).withColumn("month", month_of(ts))
 
 
@@ -114,11 +119,10 @@ def agg_engage(eng: DataFrame) -> DataFrame:
 
 def rev_by_timestamp(rev: DataFrame) -> DataFrame:
     """Revenue per (user, exact event time): 2 sums, 2 means, 5 picks from one row."""
-    out = rev.groupBy("user_id", "event_time").agg(
+    out = with_month(rev).groupBy(*MONTH_KEYS, "event_time").agg(
         pick_struct(REV_TS_PICKS, ["revenue_id"]).alias("_pick"), *rev_measures())
     return out.select(
-        "user_id", "event_time",
-        month_of("event_time").alias("month"), year_of("event_time").alias("year"),
+        "user_id", "event_time", "month", "year",
         "total_payment_amount", F.col("_pick.capital_utilization").alias("capital_utilization"),
         "avg_revenue_stability_score", "total_advance_amount",
         *[F.col(f"_pick.{c}").alias(c) for c in ("repayment_status", "revenue_trend")],
@@ -129,11 +133,10 @@ def rev_by_timestamp(rev: DataFrame) -> DataFrame:
 
 def sub_by_timestamp(sub: DataFrame) -> DataFrame:
     """Subscriptions per (user, exact event time): 3 picks, 2 means, 1 sum."""
-    out = sub.groupBy("user_id", "event_time").agg(
+    out = with_month(sub).groupBy(*MONTH_KEYS, "event_time").agg(
         pick_struct(SUB_PICKS, ["subscription_id"]).alias("_pick"), *sub_measures())
     return out.select(
-        "user_id", "event_time",
-        month_of("event_time").alias("month"), year_of("event_time").alias("year"),
+        "user_id", "event_time", "month", "year",
         *unpack("_pick", SUB_PICKS),
         "avg_growth_rate", "total_annualized_revenue", "avg_customer_growth_rate",
     )

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ledgerline.functions.picks import pick_struct, unpack
-from ledgerline.functions.timefns import day_of, month_of, month_year, year_of
+from ledgerline.functions.timefns import day_of, month_year
 from ledgerline.operators import rollups
 
 SUB_VALUES = ["subscription_plan", "region", "user_segment", "avg_growth_rate",
@@ -33,8 +33,11 @@ OUTPUT_ORDER = ["user_id", "event_date", "year", "month", "month_year", *SUB_VAL
 
 
 def subscription_revenue_summary(feeds: dict[str, DataFrame]) -> DataFrame:
-    sub_ts = rollups.sub_by_timestamp(feeds["subscription"])
-    rev_ts = rollups.rev_by_timestamp(feeds["revenue"])
+    # One shuffle a feed: both levels and the join keep this distribution. A user's months are
+    # dealt apart, so a hot user is spread over as many tasks as it has months.
+    dealt = {name: rollups.with_month(feeds[name]).repartition("user_id", "year", "month") for name in ("subscription", "revenue")}
+    sub_ts = rollups.sub_by_timestamp(dealt["subscription"])
+    rev_ts = rollups.rev_by_timestamp(dealt["revenue"])
 
     sub_month = (
         sub_ts.groupBy("user_id", "year", "month")
@@ -43,11 +46,10 @@ def subscription_revenue_summary(feeds: dict[str, DataFrame]) -> DataFrame:
     )
     rev_day = (
         rev_ts.withColumn("event_date", day_of("event_time"))
-        .groupBy("user_id", "event_date")
+        .groupBy("user_id", "year", "month", "event_date")
         .agg(pick_struct(REV_VALUES, ["event_time"]).alias("_r"))
         .select(
-            "user_id", "event_date",
-            year_of("event_date").alias("year"), month_of("event_date").alias("month"),
+            "user_id", "event_date", "year", "month",
             month_year("event_date").alias("month_year"),
             *unpack("_r", REV_VALUES),
         )

@@ -59,6 +59,21 @@ def test_feeds_are_scanned_once(spark, sf_small):
     assert _plan(df).count("FileScan parquet") == 8 and _plan(df).count("CartesianProduct") == 0
 
 
+def test_model2_deals_each_feed_once(spark, sf_small):
+    """On top of what the feeds' own joins need: one shuffle for each feed, none for the second level or the join."""
+    from ledgerline.sources.feeds import load_feeds
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = load_feeds(spark, sf_small, names=("subscription", "revenue"))
+        feeds_alone = sum(_plan(df).count("Exchange hashpartitioning") for df in f.values())
+        assert _plan(subscription_revenue_summary(f)).count("Exchange hashpartitioning") == feeds_alone + 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_mean_keeps_all_places(spark):
     from ledgerline.functions.picks import decimal_mean
     from pyspark.sql import functions as F
