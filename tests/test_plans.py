@@ -1,5 +1,5 @@
 """Plan properties that matter at scale: pushdown, pruning, no Python in the
-hot path, size-checked broadcasts, and no pair product in model 2."""
+hot path, one scan or shuffle a feed, and no pair product in model 2."""
 
 import datetime as dt
 import itertools
