@@ -201,7 +201,7 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     n = int((size or 0) // CHUNK_BYTES) + 1
     rows = rows.withColumn("chunk", F.pmod(row_hash(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int"))
     heard = stored(
-        rows.repartition(n, "chunk").sortWithinPartitions("chunk").mapInArrow(_report, "chunk int, word binary, code long, n long"), "reports")
+        rows.repartitionById(n, "chunk").sortWithinPartitions("chunk").mapInArrow(_report, "chunk int, word binary, code long, n long"), "reports")
     # A word has one row a chunk at most, so its window is bounded by the number of chunks.
     same = Window.partitionBy("word")
     known = heard.where("word is not null").select("chunk", "word", F.sum("n").over(same).alias("n"), F.min("chunk").over(same).alias("least"))
@@ -219,7 +219,7 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
 
     windows_back = seen.join(lengths, "key").select("chunk", F.col("key").alias("code"), "logp")
     everything = as_row(known.select("chunk", "word", "n"), 0).unionByName(as_row(windows_back, 1)).unionByName(as_row(rows, 2))
-    everything = everything.repartition(n, "chunk").sortWithinPartitions("chunk", "kind")
+    everything = everything.repartitionById(n, "chunk").sortWithinPartitions("chunk", "kind")
     base = float(np.log10(total + kinds + 1.0))
     return everything.mapInArrow(
         _answer(ends, total, base),
