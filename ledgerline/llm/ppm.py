@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, row_hash, stored
+from .common import blocks, release, row_hash, stored
 
 ORDER = 4
 #: Symbols: 0 marks the start, bytes are 1 to 256, 257 is the end; SYMBOL bits hold one.
 START, END, ALPHABET, SYMBOL = 0, 257, 257, 9
 #: Bytes of text that a chunk has on average.
 CHUNK_BYTES = 12 << 20
+#: Bytes of text whose windows are held as arrays at once; a longer text is a run of its own.
+RUN_BYTES = 1 << 20
 LN10 = float(np.log(10))
 
 
@@ -92,8 +94,10 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 seen.update(words(t))
         for out in (True, False):
-            ids, codes = pd.factorize(_joined([t for t, h in zip(texts, held) if h == out]))
-            parts.append((codes, np.zeros(len(codes), np.int64) if out else np.bincount(ids, minlength=len(codes))))
+            mine = [t for t, h in zip(texts, held) if h == out]
+            for a, z in blocks(mine, RUN_BYTES):
+                ids, codes = pd.factorize(_joined(mine[a:z]))
+                parts.append((codes, np.zeros(len(codes), np.int64) if out else np.bincount(ids, minlength=len(codes))))
         if len(parts) > 16:
             parts = [_merged(parts)]
     if now is not None:
