@@ -203,5 +203,5 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")),
         F.struct(target.alias("part"), F.lit(True).alias("guest"))), lambda c: c["part"].isNotNull())
     dealt = rows.select("doc_id", "text", "tie", F.inline(copies))
-    dealt = dealt.repartition(len(firsts), "part").sortWithinPartitions("part", "guest", "doc_id", "tie")
+    dealt = dealt.repartitionById(width, "part").sortWithinPartitions("part", "guest", "doc_id", "tie")
     return dealt.mapInArrow(_in_order, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
