@@ -70,8 +70,8 @@ def ruled(rules: list[Rule], field: str) -> Column:
 def plain(url: Column) -> Column:
     """The form that aliases of one page share: no scheme, fragment, tracking parameters, end slash; host in lower case."""
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    for _ in range(2):  # neighbours that share a separator
-        rest = F.regexp_replace(rest, rf"([?&])(?:{TRACKING})=[^&]*(?:&|$)", "$1")
+    # A whole run of neighbours in one match; possessive, so that a long run needs no stack.
+    rest = F.regexp_replace(rest, rf"([?&])(?:(?:{TRACKING})=[^&]*+(?:&|$))++", "$1")
     rest = F.regexp_replace(F.regexp_replace(rest, r"[?&]$", ""), r"/$", "")
     return F.when(F.instr(url, "://") > 0, F.concat(F.lit("//"), host_of(url), rest)).otherwise(url)
 

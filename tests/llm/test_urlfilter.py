@@ -97,3 +97,17 @@ def test_long_chain_of_redirects(spark):
     rows = [(i, f"http://s{i}.com/", f'<link rel=canonical href="http://s{i + 1}.com/">') for i in range(60)] + [(60, "http://s60.com/", '<link rel=canonical href="http://bad.net/">')]
     pages = spark.createDataFrame([(*r, "n", "h", "a", "c") for r in rows], PAGES)
     assert {r["verdict"] for r in urlfilter.judge(pages).collect()} == {"block"}
+
+
+def test_runs_of_tracking_parameters(spark):
+    names = ["utm_source", "utm_medium", "utm_campaign", "utm_content", "gclid", "ref", "fbclid"]
+    rows = []
+    for n in [*range(1, 8), 20_000]:
+        run = "&".join(f"{names[i % 7]}={i}" for i in range(n))
+        rows += [(f"http://a{n}.com/p?{run}", ""), (f"http://b{n}.com/p?{run}&z=1", ""), (f"http://c{n}.com/p?y=1&{run}", ""), (f"http://d{n}.com/p?y=1&{run}&z=1&{run}", "")]
+    rows += [(plain(u).replace("//", "https://", 1), '<link rel=canonical href="http://bad.net/">') for u, _ in rows]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    pages = spark.createDataFrame([(*r, "n", "h", "a", "c") for r in rows], PAGES)
+    got = urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, got), key=repr) == slow(rows)
+    assert {r["verdict"] for r in got} == {"block"}
