@@ -1,5 +1,8 @@
 import re
 from collections import defaultdict
+from urllib.parse import urljoin
+
+from pyspark.sql import functions as F
 
 from ledgerline.llm import queries, urlfilter
 from ledgerline.llm.common import table
@@ -111,3 +114,38 @@ def test_runs_of_tracking_parameters(spark):
     got = urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict").collect()
     assert sorted(map(tuple, got), key=repr) == slow(rows)
     assert {r["verdict"] for r in got} == {"block"}
+
+
+def test_targets_are_resolved(spark):
+    bases = ["http://a.com", "http://A.com/x/y/z?q=1#f", "https://a.com/x/", "http://a.com/x/y?u=http://b.net/../z"]
+    targets = ["http://b.net/x", "//bad.net/x", "/de/x", "/de/../x/./y", "x", "./x", "../x", "../../../x", "x/..", "..", ".", "?p=2", "?u=http://b.net/../c", "/.../x", "/a//../b", "g;x=1/../y"]
+    rows = [(b, t) for b in bases for t in targets]
+    got = spark.createDataFrame(rows, "b string, t string").select(urlfilter.resolved(F.col("t"), F.col("b")).alias("r"), urlfilter.plain(F.col("r")).alias("p")).collect()
+    slash = lambda u: u + "/" if u.count("/") == 2 else u
+    assert [r["r"] for r in got] == [urljoin(slash(b), t) for b, t in rows]
+    odd = [("http://a.com/", "mailto:x@y.net"), ("http://a.com/", ""), ("http://a.com/", None), ("a.com/x", "/y"), (None, "/y"), ("a.com/x", "//bad.net/y"), (None, "http://b.net/"), ("http://a.com/x?q#f", "#g")]
+    got = spark.createDataFrame(odd, "b string, t string").select(urlfilter.resolved(F.col("t"), F.col("b")).alias("r")).collect()
+    assert [r["r"] for r in got] == [None, None, None, None, None, "http://bad.net/y", "http://b.net/", "http://a.com/x?q#g"]
+
+
+def test_entities_are_decoded(spark):
+    want = {
+        "/p?a=1&amp;b=2": "/p?a=1&b=2", "/p?a=1&#38;b=2": "/p?a=1&b=2", "/p?a=1&#x26;b=2": "/p?a=1&b=2", "&#47;&#X2f;x": "//x", "/p?a=1&copy=2&amp": "/p?a=1&copy=2&",
+        "&eacute;&#233;&#x1F600;&#128;": "éé😀€", "/p?a&b;&nosuch;&#;&&amp;amp;": "/p?a&b;&nosuch;&#;&&amp;", "&#0;&#xD800;&#99999999999;&#x110000;": "\ufffd" * 4, "": "", None: None, "/x": "/x"}
+    got = spark.createDataFrame([(k,) for k in want], "t string").select("t", urlfilter.decoded(F.col("t")).alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == want
+
+
+def test_relative_links_are_followed(spark):
+    canonical = '<link rel="canonical" href="{}">'.format
+    refresh = "<meta http-equiv=refresh content='0; url={}'>".format
+    rows = [
+        (1, "http://a.com/p?id=1&x=2", canonical("http://bad.net/1")), (2, "http://a.com/q/r", canonical("/p?id=1&amp;x=2")), (3, "http://a.com/q/s", refresh("../p?id=1&#38;x=2")),
+        (4, "http://b.com/x", canonical("//bad.net/x")), (5, "https://c.com/l?u=1", refresh("?p=2")), (6, "http://c.com/l?p=2", canonical("http:&#47;&#47;bad.net")),
+        (7, "http://m.example.com/en/x", canonical("../de/x")), (8, "http://d.com/x", '<base target=a><base href="//bad.net/y/">' + canonical("z")),
+        (9, "http://e.com/x/../y", canonical("//bad.net/")), (10, "http://e.com/y", ""), (11, "http://f.com/x", canonical("/x?u=http://bad.net/")), (12, "http://g.com/x", canonical("mailto:a@bad.net")),
+        (13, "http://h.com/y", refresh("&quot;//bad.net/q&quot;")),
+    ]
+    pages = spark.createDataFrame([(*r, "n", "h", "a", "c") for r in rows], PAGES)
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages).collect()}
+    assert {i for i, v in got.items() if v == "allow"} == {11, 12} and len(got) == len(rows)
