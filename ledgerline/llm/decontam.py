@@ -13,8 +13,9 @@ on in runs of bounded length, long ones in overlapping pieces.
 
 Case and runs of blanks are evened out first; places are characters of that
 text. Nulls and odd rows: null and empty texts have no regions; an empty passage
-is found nowhere; one too short for any edit under the lemma must occur
-exactly. Repeated documents each get their rows; of equal passages each item is
+is found nowhere; one whose error share is under one edit (under 10 characters)
+must occur exactly. Only whole passages count: a document that lacks more than
+the error share of an item does not hold it. Repeated documents each get their rows; of equal passages each item is
 reported. Extra columns are ignored.
 """
 
@@ -54,14 +55,38 @@ def gram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
     return h
 
 
+def gram_size(m: int, q: int = Q, error: float = ERROR) -> int:
+    """The q of a passage of m characters: the largest power of two up to ``q`` under which the lemma allows the whole error share."""
+    edits = int(error * m)
+    while edits and q > 1 and q * (edits + 1) > m:
+        q //= 2
+    return q
+
+
 def edit_budget(m: int, q: int = Q, error: float = ERROR) -> int:
     """Edits allowed in a passage of m characters: the error share, but at least one shared q-gram must be sure."""
     return max(0, min(int(error * m), (m - q) // q))
 
 
+class Grams:
+    """The q-grams of those passages of an index that have the same q."""
+
+    def __init__(self, texts: list[str], items: list[int], q: int):
+        self.q = q
+        grams = [(gram_hashes(codes(texts[i]), q), i) for i in items]
+        h = np.concatenate([g for g, _ in grams])
+        item = np.concatenate([np.full(len(g), i) for g, i in grams])
+        at = np.concatenate([np.arange(len(g)) for g, _ in grams])
+        order = np.argsort(h, kind="stable")
+        self.item, self.at = item[order], at[order]
+        self.keys, self.first, self.times = np.unique(h[order], return_index=True, return_counts=True)
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+
+
 @dataclass
 class Index:
-    """The q-grams of a block of passages."""
+    """The q-grams of a block of passages; ``q`` is that of long ones."""
 
     ids: list[int]
     texts: list[str]
@@ -71,38 +96,33 @@ class Index:
 
     def __post_init__(self):
         m = np.array([len(t) for t in self.texts], np.int64)
-        self.m, self.k = m, np.array([edit_budget(int(x), self.q, self.error) for x in m], np.int64)
-        self.bound = m - self.q + 1 - self.k * self.q
-        self.short = [i for i, x in enumerate(m) if x < self.q]
-        grams = [(gram_hashes(codes(t), self.q), i) for i, t in enumerate(self.texts) if len(t) >= self.q]
-        none = np.zeros(0, np.int64)
-        h = np.concatenate([g for g, _ in grams]) if grams else none.astype(np.uint64)
-        item = np.concatenate([np.full(len(g), i) for g, i in grams]) if grams else none
-        at = np.concatenate([np.arange(len(g)) for g, _ in grams]) if grams else none
-        order = np.argsort(h, kind="stable")
-        self.item, self.at = item[order], at[order]
-        self.keys, self.first, self.times = np.unique(h[order], return_index=True, return_counts=True)
-        self.maybe = np.zeros(1 << FILTER_BITS, bool)
-        self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        size = np.array([gram_size(int(x), self.q, self.error) for x in m], np.int64)
+        self.m, self.k = m, np.array([edit_budget(int(x), int(q), self.error) for x, q in zip(m, size)], np.int64)
+        self.bound = m - size + 1 - self.k * size
+        self.short = np.flatnonzero(m < size).tolist()
+        self.grams = [Grams(self.texts, np.flatnonzero((size == q) & (m >= q)).tolist(), int(q)) for q in np.unique(size[m >= size])]
         self.longest = int(max(m, default=0))
 
     def bands(self, chars: np.ndarray) -> list[tuple[int, int]]:
         """(item, least diagonal) of the bands that reach the bound; a band is 2 (k + 1) diagonals."""
-        if len(chars) < self.q or not len(self.keys):
-            return []
-        h = gram_hashes(chars, self.q)
-        place = np.flatnonzero(self.maybe[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        key = np.searchsorted(self.keys, h[place])
-        key[key == len(self.keys)] = 0
-        true = self.keys[key] == h[place]
+        return sorted(set().union(*(self._bands(g, chars) for g in self.grams)))
+
+    def _bands(self, grams: Grams, chars: np.ndarray) -> set[tuple[int, int]]:
+        if len(chars) < grams.q:
+            return set()
+        h = gram_hashes(chars, grams.q)
+        place = np.flatnonzero(grams.maybe[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        key = np.searchsorted(grams.keys, h[place])
+        key[key == len(grams.keys)] = 0
+        true = grams.keys[key] == h[place]
         place, key = place[true], key[true]
-        times = self.times[key]
+        times = grams.times[key]
         total = int(times.sum())
         if not total:
-            return []
+            return set()
         nth = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
-        entry = np.repeat(self.first[key], times) + nth
-        item, at = self.item[entry], self.at[entry]
+        entry = np.repeat(grams.first[key], times) + nth
+        item, at = grams.item[entry], grams.at[entry]
         diagonal = np.repeat(place, times) - at + self.longest
         step = self.k[item] + 1
         # Of an item's hits, those at one place of the passage in one band count once.
@@ -118,7 +138,7 @@ class Index:
         for i in np.flatnonzero(n + follows >= self.bound[found]).tolist():
             out.add((int(found[i]), int(low[i] * (self.k[found[i]] + 1) - self.longest)))
         # A band that only its second half fills starts one step earlier; its hits are then in the band above, which counts them too.
-        return sorted(out)
+        return out
 
 
 def align(passage: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int, int] | None:

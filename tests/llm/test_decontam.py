@@ -103,3 +103,16 @@ def test_long_text_in_pieces(monkeypatch):
         noise = "".join(r.choice(list("ijklmnop"), 3000))
         text = noise[:at] + edited(passage, int(index.k[0]), r) + noise[at:]
         assert 0 in decontam.regions(index, text)
+
+
+def test_short_passages_have_the_whole_budget():
+    r = np.random.default_rng(9)
+    letters = list("abcdefghijklmnop")
+    for m in range(1, 48):
+        passages = ["".join(r.choice(letters, m)), "".join(r.choice(letters, 100))]
+        index = decontam.Index([0, 1], passages, decontam.Q, decontam.ERROR)
+        assert index.k[0] == m // 10 and index.k[1] == 10
+        for _ in range(8):
+            text = "".join(r.choice(letters, 60)) + edited(passages[0], m // 10, r) + "".join(r.choice(letters, 40)) + passages[1]
+            found = decontam.regions(index, text)
+            assert found[0][0] == slow_least(passages[0], text) <= m // 10 and found[1][0] == 0
