@@ -7,8 +7,9 @@ than k apart. So hits of the passage's q-grams are counted in overlapping bands
 of diagonals, the bands that reach the bound are kept, and there the passage is
 aligned within the band to settle the number of edits.
 
-The benchmark is the query set: it is read in blocks of bounded size, and each
-block is held against all documents, whole texts, in one pass. Texts are worked
+The benchmark is the query set: it goes through the driver in blocks of about 2 MB of text, and
+each block is held against all documents, whole texts, in one pass. That is meant
+for benchmarks of some blocks (tens of MB): each further block is one more scan. Texts are worked
 on in runs of bounded length, long ones in overlapping pieces.
 
 Case and runs of blanks are evened out first; places are characters of that
@@ -16,7 +17,8 @@ text. Nulls and odd rows: null and empty texts have no regions; an empty passage
 is found nowhere; one whose error share is under one edit (under 10 characters)
 must occur exactly. Only whole passages count: a document that lacks more than
 the error share of an item does not hold it. Repeated documents each get their rows; of equal passages each item is
-reported. Extra columns are ignored.
+reported. A benchmark row with a null ``item_id`` is not searched for, so a document
+that holds only such passages counts as clean. Extra columns are ignored.
 """
 
 from __future__ import annotations
