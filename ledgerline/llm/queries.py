@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their DuckDB SQL where SQL can say it."""
+"""The registered queries of the operators, and their DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import work_dir
 
-from . import decontam, langid, lcp, linededup, mixing, ppm, quality, simhash, urlfilter, warc
+from . import decontam, langid, lcp, linededup, mixing, ppm, quality, simhash, superkmers, urlfilter, warc
 from .common import id_remainder, stored, table
 
 WARC_MIN_BYTES = 0
@@ -73,6 +73,11 @@ def op10_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmers.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], window=13, m=3)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +88,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_arc_to_warc, op2_simhash_near_dedup, op3_language_id, op4_benchmark_decontamination, op5_mixing_weights,
-        op6_line_dedup, op7_ppm_scoring, op8_quality_cnn, op9_lcp_fingerprints, op10_url_redirect_filter, pipeline,
+        op6_line_dedup, op7_ppm_scoring, op8_quality_cnn, op9_lcp_fingerprints, op10_url_redirect_filter,
+        op11_super_kmers, pipeline,
     )
 }
 
@@ -178,5 +184,18 @@ select page_id, host, path, rule,
 from r left join g on r.node = g.node
 """
 
+_OP11 = """
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws from documents),
+words as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) pos from texts),
+starts as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') win from (select doc_id, ws, unnest(range(1, len(ws) - 11)) i from texts)),
+firsts as (select win, min(doc_id) first_doc from starts group by win),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) pos from starts join firsts using (win) where doc_id > first_doc),
+kept as (
+  select words.doc_id, count(gone.pos) n_removed, string_agg(w, ' ' order by pos) filter (gone.pos is null) kept
+  from words left join gone using (doc_id, pos) group by words.doc_id)
+select doc_id, len(ws)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256
+from texts left join kept using (doc_id)
+"""
+
 #: Where SQL can express an operator. op10's has no declared links: no page of the given tables declares one (tests hold them against a brute-force search).
-ORACLES = {"op1_arc_to_warc": _OP1, "op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10}
+ORACLES = {"op1_arc_to_warc": _OP1, "op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10, "op11_super_kmers": _OP11}
