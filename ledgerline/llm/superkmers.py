@@ -42,11 +42,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, row_hash, shuffle_width, stored
+from .common import row_hash, shuffle_width, stored
 
 WINDOW, MINIMISER = 13, 3
-#: Characters of text packed at once, bytes of packed strings in a bucket, windows in a packed string (one bit of a mask each).
-BLOCK_CHARS, BUCKET_BYTES, MASK = 8 << 20, 16 << 20, 63
+#: Bytes of text packed at once, bytes of packed strings in a bucket, windows in a packed string (one bit of a mask each).
+BLOCK_BYTES, BUCKET_BYTES, MASK = 3 << 20, 16 << 20, 63
 #: A minimiser is split if it has more windows than this, and more than 2 ** -HOT_SHARE of all.
 HOT_WINDOWS, HOT_SHARE = 200_000, 22
 
@@ -76,7 +76,7 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 
 class Packed:
-    """The super-k-mers of a block of texts: text index, first word, number of windows, key, packed bytes."""
+    """The super-k-mers of a block of texts: text index, first word, number of windows, key; ``strings`` packs their words."""
 
     def __init__(self, texts: list[str | None], window: int, m: int, hot: np.ndarray | None):
         words = [(t or "").encode().split() for t in texts]
@@ -84,7 +84,7 @@ class Packed:
         every = [w for ws in words for w in ws]
         n = len(every)
         self.text = self.start = self.windows = np.zeros(0, np.int64)
-        self.key, self.packed = np.zeros(0, np.uint64), []
+        self.key, self.words, self.first, self.length = np.zeros(0, np.uint64), every, self.start, self.start
         if n < window:
             return
         h = np.fromiter(map(zlib.crc32, every), np.uint64, n)
@@ -109,10 +109,27 @@ class Packed:
         first = at[heads]
         self.key, self.text = key[heads], owner[first]
         self.start = first - (ends - sizes)[self.text]
-        joined = b" ".join(every)
-        stop = np.cumsum(np.fromiter(map(len, every), np.int64, n) + 1) - 1
-        a = np.concatenate([[0], stop + 1])[first]
-        self.packed = [joined[x:y] for x, y in zip(a.tolist(), stop[first + self.windows + window - 2].tolist())]
+        self.first, self.length = first, self.windows + window - 1
+
+    def strings(self) -> list[bytes]:
+        if not len(self.first):
+            return []
+        joined = b" ".join(self.words)
+        stop = np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1) - 1
+        begin = np.concatenate([[0], stop + 1])[self.first]
+        return [joined[a:z] for a, z in zip(begin.tolist(), stop[self.first + self.length - 1].tolist())]
+
+
+def text_blocks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about BLOCK_BYTES at most, with the place of the first; a longer text is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    a = held = 0
+    for i, n in enumerate([*sizes, BLOCK_BYTES + 1]):
+        if i > a and held + n > BLOCK_BYTES:
+            yield a, column.slice(a, i - a).to_pylist()
+            a = i
+            held = 0
+        held += n
 
 
 def _counts(window: int, m: int):
@@ -120,9 +137,8 @@ def _counts(window: int, m: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for a, z in blocks(texts, BLOCK_CHARS):
-                p = Packed(texts[a:z], window, m, None)
+            for _, texts in text_blocks(b.column("text")):
+                p = Packed(texts, window, m, None)
                 keys, which = np.unique(p.key, return_inverse=True)
                 n = np.bincount(which, p.windows, minlength=len(keys)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
@@ -175,15 +191,16 @@ def _sent(window: int, m: int, n_buckets: int, hot: np.ndarray):
             again[1:] = (doc[1:] == doc[:-1]) & (unknown[1:] == unknown[:-1]) & (row[1:] == row[:-1])
             fresh = np.flatnonzero(~again)
             doc, row, unknown = doc[fresh], row[fresh], unknown[fresh]
-            texts = b.column("text").take(pa.array(fresh)).to_pylist()
-            for a, z in blocks(texts, BLOCK_CHARS):
-                yield _block(Packed(texts[a:z], window, m, hot), doc[a:z], unknown[a:z], row[a:z], n_buckets)
+            for a, texts in text_blocks(b.column("text").take(pa.array(fresh))):
+                z = a + len(texts)
+                yield _block(Packed(texts, window, m, hot), doc[a:z], unknown[a:z], row[a:z], n_buckets)
     return run
 
 
 def _block(p: Packed, doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    packed = p.strings()
     seen: dict[bytes, int] = {}
-    first = np.fromiter((seen.setdefault(x, i) for i, x in enumerate(p.packed)), np.int64, len(p.packed))
+    first = np.fromiter(map(seen.setdefault, packed, range(len(packed))), np.int64, len(packed))
     del seen
     rank = np.zeros(len(doc), np.int64)
     if len(doc):
@@ -197,7 +214,7 @@ def _block(p: Packed, doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, n_b
     for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(away)]):
         i = away[a:z]
         t = p.text[i]
-        blobs.append(encoded(doc[t], unknown[t], row[t], p.start[i], p.key[i], [p.packed[j] for j in i.tolist()]))
+        blobs.append(encoded(doc[t], unknown[t], row[t], p.start[i], p.key[i], [packed[j] for j in i.tolist()]))
         to.append(bucket[i[0]])
     done = np.flatnonzero(here)
     t, k = p.text[done], len(blobs)
