@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import work_dir
 
-from . import decontam, langid, lcp, linededup, mixing, ppm, quality, simhash, superkmers, urlfilter, warc
+from . import decontam, langid, lcp, linededup, mixing, ppm, quality, simhash, superkmers, urlfilter, variants, warc
 from .common import id_remainder, stored, table
 
 WARC_MIN_BYTES = 0
@@ -78,6 +78,10 @@ def op11_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +93,7 @@ QUERIES = {
     for f in (
         op1_arc_to_warc, op2_simhash_near_dedup, op3_language_id, op4_benchmark_decontamination, op5_mixing_weights,
         op6_line_dedup, op7_ppm_scoring, op8_quality_cnn, op9_lcp_fingerprints, op10_url_redirect_filter,
-        op11_super_kmers, pipeline,
+        op11_super_kmers, op12_spelling_variants, pipeline,
     )
 }
 

@@ -156,11 +156,11 @@ def hot_minimisers(texts: DataFrame, window: int, m: int, least: int = HOT_WINDO
     return np.sort(found.column("key").to_numpy().astype(np.int64).view(np.uint64))
 
 
-def encoded(doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, start: np.ndarray, key: np.ndarray, packed: list[bytes]) -> bytes:
+def encoded(doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, start: np.ndarray, key: np.ndarray, packed: list[bytes], press: zstandard.ZstdCompressor) -> bytes:
     """Super-k-mers of one bucket as one compressed value."""
     parts = [len(packed).to_bytes(8, "little"), doc.astype(np.int64).tobytes(), unknown.astype(np.uint8).tobytes(), row.astype(np.int64).tobytes(),
              start.astype(np.int64).tobytes(), key.astype(np.uint64).tobytes(), b"\n".join(packed)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return press.compress(b"".join(parts))
 
 
 def decoded(blob: bytes) -> tuple:
@@ -173,13 +173,25 @@ def decoded(blob: bytes) -> tuple:
     return (*out, data[at:])
 
 
-SENT = "bucket long, blob binary, doc_id long, row long, start long, mask long"
+MARKS = "doc_id long, row long, start array<long>, mask array<long>"
+SENT = f"bucket long, blob binary, {MARKS}"
+
+
+def marks_of(doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, start: np.ndarray, mask: np.ndarray) -> list[pa.Array]:
+    """One row a document with the starts and masks of its marked strings."""
+    order = np.lexsort((start, row, doc, unknown))
+    doc, unknown, row, start, mask = (x[order] for x in (doc, unknown, row, start, mask))
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(row) != 0) | (unknown[1:] != unknown[:-1])])[:len(doc)])
+    offsets = pa.array(np.append(heads, len(doc)), pa.int32())
+    return [pa.array(doc[heads], pa.int64(), mask=unknown[heads].astype(bool)), pa.array(row[heads], pa.int64()),
+            pa.ListArray.from_arrays(offsets, pa.array(start, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(mask, pa.int64()))]
 
 
 def _sent(window: int, m: int, n_buckets: int, hot: np.ndarray):
     """One row a bucket and block with its packed strings; one row a packed string that is marked where it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for b in batches:
             order = pc.sort_indices(pa.table({"doc_id": b.column("doc_id"), "row": b.column("row")}), sort_keys=[("doc_id", "ascending"), ("row", "ascending")], null_placement="at_end")
             b = b.take(order)
@@ -193,11 +205,11 @@ def _sent(window: int, m: int, n_buckets: int, hot: np.ndarray):
             doc, row, unknown = doc[fresh], row[fresh], unknown[fresh]
             for a, texts in text_blocks(b.column("text").take(pa.array(fresh))):
                 z = a + len(texts)
-                yield _block(Packed(texts, window, m, hot), doc[a:z], unknown[a:z], row[a:z], n_buckets)
+                yield _block(Packed(texts, window, m, hot), doc[a:z], unknown[a:z], row[a:z], n_buckets, press)
     return run
 
 
-def _block(p: Packed, doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+def _block(p: Packed, doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, n_buckets: int, press: zstandard.ZstdCompressor) -> pa.RecordBatch:
     packed = p.strings()
     seen: dict[bytes, int] = {}
     first = np.fromiter(map(seen.setdefault, packed, range(len(packed))), np.int64, len(packed))
@@ -214,17 +226,16 @@ def _block(p: Packed, doc: np.ndarray, unknown: np.ndarray, row: np.ndarray, n_b
     for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(away)]):
         i = away[a:z]
         t = p.text[i]
-        blobs.append(encoded(doc[t], unknown[t], row[t], p.start[i], p.key[i], [packed[j] for j in i.tolist()]))
+        blobs.append(encoded(doc[t], unknown[t], row[t], p.start[i], p.key[i], [packed[j] for j in i.tolist()], press))
         to.append(bucket[i[0]])
     done = np.flatnonzero(here)
     t, k = p.text[done], len(blobs)
     mask = ((np.uint64(1) << p.windows[done].astype(np.uint64)) - np.uint64(1)).view(np.int64)
-
-    def column(values: np.ndarray, kind: pa.DataType, null: np.ndarray | None = None) -> pa.Array:
-        return pa.concat_arrays([pa.nulls(k, kind), pa.array(values, kind, mask=null)])
+    marks = marks_of(doc[t], unknown[t], row[t], p.start[done], mask)
+    n = len(marks[0])
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([np.array(to, np.int64), bucket[done]])), pa.array([*blobs, *[None] * len(done)], pa.binary()),
-         column(doc[t], pa.int64(), unknown[t]), column(row[t], pa.int64()), column(p.start[done], pa.int64()), column(mask, pa.int64())],
+        [pa.array(np.concatenate([np.array(to, np.int64), np.arange(n) % n_buckets])), pa.array([*blobs, *[None] * n], pa.binary()),
+         *[pa.concat_arrays([pa.nulls(k, x.type), x]) for x in marks]],
         names=["bucket", "blob", "doc_id", "row", "start", "mask"])
 
 
@@ -274,15 +285,11 @@ def repeats(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     return doc[look], unknown[look], row[look], start[look], mask[hit]
 
 
-MARKS = "doc_id long, row long, start long, mask long"
-
-
 def _marks(window: int):
     """The marks of each bucket, whose rows come one after the other."""
 
     def found(blobs: list[bytes]) -> pa.RecordBatch:
-        doc, unknown, row, start, mask = repeats(blobs, window)
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64(), mask=unknown.astype(bool)), pa.array(row), pa.array(start), pa.array(mask)], names=["doc_id", "row", "start", "mask"])
+        return pa.RecordBatch.from_arrays(marks_of(*repeats(blobs, window)), names=["doc_id", "row", "start", "mask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
@@ -302,10 +309,33 @@ def _marks(window: int):
     return run
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a document, from rows that come document by document: no more than a document's own marks are held."""
+    def out(rows: list) -> pa.RecordBatch:
+        columns = [[d for (d, _), _ in rows], [r for (_, r), _ in rows], [list(m) for _, m in rows], [list(m.values()) for _, m in rows]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "row", "start", "mask"])
+
+    now, held, done = None, {}, []
+    for b in batches:
+        for d, r, start, mask in zip(*[b.column(c).to_pylist() for c in ("doc_id", "row", "start", "mask")]):
+            if (d, r) != now:
+                if now is not None:
+                    done.append((now, held))
+                now, held = (d, r), {}
+            for s, m in zip(start, mask):
+                held[s] = held.get(s, 0) | m
+        if done:
+            yield out(done)
+            done = []
+    if now is not None:
+        yield out([(now, held)])
+
+
 def marked_windows(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, hot_windows: int = HOT_WINDOWS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, row, marks) of the documents with windows that start in a document of smaller doc_id too.
+    """(doc_id, row, start, mask) of the documents with windows that start in a document of smaller doc_id too.
 
-    marks is an array of (start, mask); row is the hash of a row's doc_id and text.
+    start and mask are arrays, one entry a marked string; row is the hash of a row's doc_id and text.
     """
     if not 1 <= m <= window:
         raise ValueError("a minimiser has between one word and a window's words")
@@ -318,25 +348,20 @@ def marked_windows(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, ho
     width = min(n, shuffle_width(spark))
     met = sent.repartitionById(width, F.expr(f"cast(pmod(bucket, {width}) as int)")).sortWithinPartitions("bucket")
     marks = stored(met.mapInArrow(_marks(window), MARKS), "marks")
-    once = marks.groupBy("doc_id", "row", "start").agg(F.bit_or("mask").alias("mask"))
-    return once.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
+    return marks.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row").mapInArrow(_merged, MARKS)
 
 
 def _row() -> Column:
     return row_hash(F.col("doc_id").cast("long"), F.col("text"))
 
 
-def covered(n_words: int, marks: list[dict], window: int) -> np.ndarray:
+def covered(n_words: int, start: np.ndarray, mask: np.ndarray, window: int) -> np.ndarray:
     """Which of a text's words lie in a marked window."""
     edges = np.zeros(n_words + 1, np.int64)
-    if marks:
-        start = np.array([x["start"] for x in marks], np.int64)
-        mask = np.array([x["mask"] for x in marks], np.int64)
-        bits = np.arange(MASK)
-        which, bit = np.nonzero((mask[:, None] >> bits) & 1)
-        at = start[which] + bit
-        np.add.at(edges, at, 1)
-        np.add.at(edges, at + window, -1)
+    which, bit = np.nonzero((mask[:, None] >> np.arange(MASK)) & 1)
+    at = start[which] + bit
+    np.add.at(edges, at, 1)
+    np.add.at(edges, at + window, -1)
     return np.cumsum(edges)[:n_words] > 0
 
 
@@ -344,9 +369,9 @@ def _kept(window: int, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, kept = [], [], []
-            for t, marks in zip(b.column("text"), b.column("marks")):
+            for t, start, mask in zip(b.column("text"), b.column("m_start"), b.column("m_mask")):
                 words = (t.as_py() or "").encode().split()
-                gone = covered(len(words), marks.as_py() or [], window) if marks.is_valid else None
+                gone = covered(len(words), start.values.to_numpy(), mask.values.to_numpy(), window) if start.is_valid else None
                 n_words.append(len(words))
                 n_removed.append(0 if gone is None else int(gone.sum()))
                 kept.append((b" ".join(words) if gone is None else b" ".join([w for w, g in zip(words, gone.tolist()) if not g])).decode())
@@ -359,7 +384,7 @@ def without_repeats(docs: DataFrame, columns: list[str], window: int = WINDOW, m
     """``columns`` of every row of docs with n_words, n_removed and kept, the words left, joined by one blank."""
     if {"n_words", "n_removed", "kept"} & set(columns):
         raise ValueError("n_words, n_removed and kept are results, not columns to pass on")
-    marks = marked_windows(docs, window, m, **how).select(F.col("doc_id").alias("m_doc"), F.col("row").alias("m_row"), "marks")
+    marks = marked_windows(docs, window, m, **how).withColumnsRenamed({"doc_id": "m_doc", "row": "m_row", "start": "m_start", "mask": "m_mask"})
     named = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(columns)], "text", F.col("doc_id").cast("long").alias("n_doc"), _row().alias("n_row"))
     met = named.join(marks, (F.col("n_row") == F.col("m_row")) & F.col("n_doc").eqNullSafe(F.col("m_doc")), "left").drop("n_doc", "n_row", "m_doc", "m_row")
     types = [docs.schema[c].dataType.simpleString() for c in columns]

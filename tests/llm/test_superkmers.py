@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from helpers import as_docs, no_docs, odd_docs, some_docs
 from pyspark.sql import functions as F
 
@@ -92,7 +93,7 @@ def test_packed_strings_hold_each_window_once():
 
 def test_blob_round_trip_and_window_ids():
     a = np.arange(3)
-    blob = superkmers.encoded(a, a > 1, a + 5, a * 2, a.astype(np.uint64), [b"x y", b"z", b"w"])
+    blob = superkmers.encoded(a, a > 1, a + 5, a * 2, a.astype(np.uint64), [b"x y", b"z", b"w"], zstandard.ZstdCompressor())
     *arrays, packed = superkmers.decoded(blob)
     assert [x.tolist() for x in arrays] == [[0, 1, 2], [0, 0, 1], [5, 6, 7], [0, 2, 4], [0, 1, 2]] and packed == b"x y\nz\nw"
     codes = np.random.default_rng(1).integers(0, 2, 400)

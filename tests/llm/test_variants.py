@@ -1,0 +1,103 @@
+import random
+import zlib
+from collections import Counter
+
+import pytest
+import regex
+from helpers import as_docs, no_docs, odd_docs, some_docs
+from pyspark.sql import functions as F
+
+from ledgerline.llm import queries, variants
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slow(rows, min_length=5, min_count=3, noise=97, factor=2):
+    """Words, then near words by looking up every word with one code point left out, then forms step by step."""
+    n = Counter()
+    for d, t in rows:
+        for run in regex.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if noise and h % noise == 0 else run] += 1
+    return slow_forms({w: k for w, k in n.items() if len(w) >= min_length and k >= min_count}, factor)
+
+
+def slow_forms(n, factor=2):
+    holes = {}
+    for w in n:
+        for i in range(len(w)):
+            holes.setdefault((i, w[:i] + w[i + 1:]), set()).add(w)
+    near = {w: set() for w in n}
+    for (i, rest), ws in holes.items():
+        for w in ws:
+            near[w] |= ws - {w}
+            if rest in n:
+                near[w].add(rest)
+                near[rest].add(w)
+    out = {}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n.get(form[w]))
+    return sorted(((w, *v) for w, v in out.items()), key=repr)
+
+
+def fast(docs, **how):
+    return sorted(map(tuple, variants.spelling_variants(docs, **how).collect()), key=repr)
+
+
+def test_query_against_brute_force(spark, sf_small):
+    rows = list(some_docs(spark, sf_small)[["doc_id", "text"]].itertuples(index=False, name=None))
+    want = slow(rows)
+    got = queries.op12_spelling_variants(spark, sf_small).select("word", "form", "root", "n", "n_near", "form_n").collect()
+    assert sorted(map(tuple, got), key=repr) == want
+    assert any(w[1] for w in want) and any(w[2] not in (w[0], w[1]) for w in want)
+
+
+@pytest.mark.parametrize("letters,most", [("ab", 3), ("abcé", 20)])
+def test_dense_words_and_cut_partitions(spark, letters, most):
+    rng = random.Random(len(letters))
+    words = {"".join(rng.choice(letters) for _ in range(rng.randrange(5, 9))) for _ in range(150)}
+    n = {w: rng.randrange(3, 60) for w in words}
+    rows = spark.createDataFrame(sorted(n.items()), "word string, n long")
+    near = {r["word"]: (r["n_near"], r["best_n"], r["best"]) for r in variants.near_words(rows, most=most).collect()}
+    for w, form, root, k, n_near, form_n in slow_forms(n, factor=0):
+        assert near.get(w, (0, None, None)) == (n_near, form_n, form)
+    sizes = variants.partitions(rows, most=most).groupBy("state").count().collect()
+    assert all(r["count"] <= most or int(r["state"].split(":")[2]) - int(r["state"].split(":")[1]) == 1 for r in sizes)
+
+
+def test_acceptors_are_minimal():
+    words = sorted(a + b for a in ("cat", "dog", "pig") for b in ("s", "e"))
+    a = variants.Acceptor(words)
+    c = variants.Composed(a, a)
+    assert sorted(c.common(a.start, a.start)) == words and len(a.arcs) == 1 + 1 + 2 + 3 + 1 - 1 + 1
+    assert variants.Acceptor([]).start == 0
+    pairs = sorted(c.replaced())
+    assert pairs == sorted((x, y) for x in words for y in words if x < y and sum(p != q for p, q in zip(x, y)) == 1)
+
+
+def test_odd_rows(spark):
+    for docs in (odd_docs(spark), no_docs(spark)):
+        rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        assert fast(docs) == slow(rows)
+        assert fast(docs, min_count=1, noise=2, min_length=2) == slow(rows, 2, 1, 2)
+    clash = odd_docs(spark).withColumns({c: F.lit(1) for c in ("word", "n", "state", "low", "high", "length", "root")})
+    assert fast(clash) == fast(odd_docs(spark))
+
+
+def test_long_runs_and_pieces(spark, monkeypatch):
+    long = "q" * 3000
+    texts = [" ".join([long, long[1:], "é" + long[2:]] * 3), "ÀÖ×÷ÿ AbcdE abcde Abcdé" * 3]
+    rows = list(enumerate(texts))
+    assert fast(as_docs(spark, texts), noise=0) == slow(rows, noise=0)
+    monkeypatch.setattr(variants, "PIECE", 7)
+    for t in texts:
+        assert "".join(variants.pieces(t)) == t
+        assert [r for p in variants.pieces(t) for r in variants.RUN.findall(p)] == variants.RUN.findall(t)
