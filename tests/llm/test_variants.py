@@ -23,7 +23,7 @@ def slow(rows, min_length=5, min_count=3, noise=97, factor=2):
     return slow_forms({w: k for w, k in n.items() if len(w) >= min_length and k >= min_count}, factor)
 
 
-def slow_forms(n, factor=2):
+def slow_near(n):
     holes = {}
     for w in n:
         for i in range(len(w)):
@@ -35,8 +35,11 @@ def slow_forms(n, factor=2):
             if rest in n:
                 near[w].add(rest)
                 near[rest].add(w)
-    out = {}
-    form = {}
+    return near
+
+
+def slow_forms(n, factor=2):
+    near, out, form = slow_near(n), {}, {}
     for w in n:
         best = min(near[w], key=lambda x: (-n[x], x), default=None)
         form[w] = best if best is not None and n[best] >= factor * n[w] else None
@@ -66,9 +69,10 @@ def test_dense_words_and_cut_partitions(spark, letters, most):
     words = {"".join(rng.choice(letters) for _ in range(rng.randrange(5, 9))) for _ in range(150)}
     n = {w: rng.randrange(3, 60) for w in words}
     rows = spark.createDataFrame(sorted(n.items()), "word string, n long")
-    near = {r["word"]: (r["n_near"], r["best_n"], r["best"]) for r in variants.near_words(rows, most=most).collect()}
-    for w, form, root, k, n_near, form_n in slow_forms(n, factor=0):
-        assert near.get(w, (0, None, None)) == (n_near, form_n, form)
+    got = {r["word"]: (r["n_near"], r["best_n"], r["best"]) for r in variants.near_words(rows, most=most).collect()}
+    for w, near in slow_near(n).items():
+        best = min(near, key=lambda x: (-n[x], x), default=None)
+        assert got.get(w, (0, None, None)) == (len(near), n.get(best), best)
     sizes = variants.partitions(rows, most=most).groupBy("state").count().collect()
     assert all(r["count"] <= most or int(r["state"].split(":")[2]) - int(r["state"].split(":")[1]) == 1 for r in sizes)
 
