@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import work_dir
 
-from . import decontam, langid, lcp, linededup, mixing, ppm, quality, simhash, superkmers, urlfilter, variants, warc
+from . import decontam, langid, lcp, linededup, mixing, ppm, prefixtrie, quality, simhash, superkmers, urlfilter, variants, warc
 from .common import id_remainder, stored, table
 
 WARC_MIN_BYTES = 0
@@ -82,6 +82,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +97,7 @@ QUERIES = {
     for f in (
         op1_arc_to_warc, op2_simhash_near_dedup, op3_language_id, op4_benchmark_decontamination, op5_mixing_weights,
         op6_line_dedup, op7_ppm_scoring, op8_quality_cnn, op9_lcp_fingerprints, op10_url_redirect_filter,
-        op11_super_kmers, op12_spelling_variants, pipeline,
+        op11_super_kmers, op12_spelling_variants, op13_prefix_trie, pipeline,
     )
 }
 
