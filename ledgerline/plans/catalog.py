@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from decimal import Decimal
 
@@ -24,7 +25,7 @@ from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_month_sli
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 from ledgerline.session import ensure_utc, work_dir
 from ledgerline.sources import feeds as feedmod
-from ledgerline.sources import json_events, schemas
+from ledgerline.sources import compaction, json_events, raw, schemas
 from ledgerline.streaming import ingest as stream_ingest
 from ledgerline.streaming import publish
 
@@ -295,6 +296,46 @@ def q_stream_tables(spark, sf_dir):
     return out
 
 
+def _table_digest(rows: DataFrame, feed: schemas.Feed) -> DataFrame:
+    """n_rows and a digest of a raw table's rows: a sum, which needs no order and is equal only for equal rows."""
+    one = _digest(F.concat_ws("|", feed.pk, "user_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+    return rows.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(one), F.lit(0)).alias("digest")).select(F.lit(feed.table).alias("table_name"), "*")
+
+
+@query("stream_ingest_by_name")
+def q_stream_by_name(spark, sf_dir):
+    """A topic without a message (churn), one whose messages are all rejected (engagement), two as usual: all four tables read by name."""
+    root = work_dir(spark, "ingest")
+    suffix = root.rsplit("-", 1)[1]
+    sources, names = {}, {}
+    for name, feed in schemas.FEEDS.items():
+        rows = feedmod.FEED_BUILDERS[name](spark, sf_dir)
+        if name == "churn":
+            rows = rows.where("churn_event_id is null")
+        elif name == "engagement":
+            rows = rows.withColumn(feed.pk, F.lit(None).cast("string"))
+        publish.publish_files(rows, feed, f"{root}/landing/{feed.topic}")
+        sources[feed.topic] = stream_ingest.file_source(spark, f"{root}/landing/{feed.topic}")
+        names[feed.topic] = f"{feed.table}_{suffix}"
+    stream_ingest.run_ingest(sources, root, table_names=names)
+    out = [_table_digest(raw.read_raw_feed(spark, n, names[f.topic]), f) for n, f in schemas.FEEDS.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("ingest_compacted")
+def q_ingest_compacted(spark, sf_dir):
+    """The engagement topic ingested in many batches, the older ones merged by a compaction; returns the table's rows by name."""
+    root = work_dir(spark, "ingest")
+    feed = schemas.ENGAGEMENT
+    name = f"{feed.table}_{root.rsplit('-', 1)[1]}"
+    publish.publish_files(feedmod.engagement_feed(spark, sf_dir).repartition(4), feed, f"{root}/landing")
+    source = stream_ingest.file_source(spark, f"{root}/landing", max_files_per_trigger=1)
+    paths = stream_ingest.run_ingest({feed.topic: source}, root, table_names={feed.topic: name})[feed.topic]
+    if not compaction.compact(spark, paths.base, feed, min_batches=2, table=name):
+        raise RuntimeError("nothing was merged")
+    return raw.read_raw_feed(spark, feed.name, name)
+
+
 MISSING_MONTH, STRAY_MONTH = "1998-06", "2003-01"
 JUNE_98, JAN_03 = dt.date(1998, 6, 1), dt.date(2003, 1, 1)
 M1_COLUMNS = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]

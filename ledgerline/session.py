@@ -74,3 +74,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system it is in; nothing happens if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -526,6 +526,13 @@ FROM (SELECT *, NOT no_id AND NOT no_user AS ok FROM (
         for feed, pk, table in (
             ("sub", "subscription_id", "raw_subscription_events"), ("rev", "revenue_id", "raw_revenue_events"),
             ("churn", "churn_event_id", "raw_churn_events"), ("eng", "engagement_id", "raw_customer_engagement_events"))))
+    q["stream_ingest_by_name"] = _with(f, " UNION ALL ".join(f"""SELECT '{table}' AS table_name, count(*) AS n_rows,
+  CAST(coalesce(sum({_digest(f"concat_ws('|', {pk}, user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S'))")}), 0) AS BIGINT) AS digest
+FROM (SELECT * FROM {feed} WHERE {kept})"""
+        for feed, pk, table, kept in (
+            ("sub", "subscription_id", "raw_subscription_events", "true"), ("rev", "revenue_id", "raw_revenue_events", "true"),
+            ("churn", "churn_event_id", "raw_churn_events", "false"), ("eng", "engagement_id", "raw_customer_engagement_events", "false"))))
+    q["ingest_compacted"] = _with(f, "SELECT * FROM eng")
     q["restate_month"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
     q["restate_new_users"] = q["restate_month"]
     q["restate_revenue_months"] = _with(srs_cte(), "SELECT * FROM subscription_revenue_summary")

@@ -1,0 +1,161 @@
+"""Raw tables by name and by path: quiet topics, continuous ingest, hot months, compaction killed at any step."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.plans import registry
+from ledgerline.session import work_dir
+from ledgerline.sources import compaction, json_events, schemas
+from ledgerline.sources.feeds import FEED_BUILDERS, churn_feed, engagement_feed
+from ledgerline.sources.raw import read_raw_feed, read_raw_feeds
+from ledgerline.streaming import ingest
+from ledgerline.streaming.publish import publish_files
+
+CHURN = schemas.CHURN
+
+
+def _name(root, topic="churn"):
+    return f"raw_{topic}_{root.rsplit('-', 1)[1]}"
+
+
+def _same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def _files(path):
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.startswith("part-")}
+
+
+def test_quiet_and_rejected_topics(spark, sf_small):
+    """One topic without a message, one with nothing valid: both tables are there, and models build."""
+    root = work_dir(spark, "test-quiet")
+    sources = {}
+    for name, feed in schemas.FEEDS.items():
+        rows = FEED_BUILDERS[name](spark, sf_small)
+        if name == "churn":
+            rows = rows.limit(0)
+        elif name == "engagement":
+            rows = rows.withColumn(feed.pk, F.lit(None).cast("string"))
+        publish_files(rows, feed, f"{root}/landing/{feed.topic}")
+        sources[feed.topic] = ingest.file_source(spark, f"{root}/landing/{feed.topic}")
+    names = {t: _name(root, t) for t in sources}
+    paths = ingest.run_ingest(sources, root, table_names=names)
+    assert spark.table(names["churn"]).isEmpty() and spark.table(names["customer_engagement"]).isEmpty()
+    assert ingest.read_rejects(spark, paths["churn"], CHURN).isEmpty()
+    assert ingest.read_rejects(spark, paths["customer_engagement"], schemas.ENGAGEMENT).count() == engagement_feed(spark, sf_small).count()
+    by_name = read_raw_feeds(spark, {n: names[f.topic] for n, f in schemas.FEEDS.items()})
+    by_path = read_raw_feeds(spark, {n: paths[f.topic].table for n, f in schemas.FEEDS.items()})
+    for n, feed in schemas.FEEDS.items():
+        assert _same(by_name[n], by_path[n]) and by_name[n].columns == feed.columns
+        assert by_name[n].isEmpty() == (n in ("churn", "engagement"))
+    counts = registry.build(by_path, f"{root}/models")
+    assert counts["customer_summary"].first()["key_dimensions_not_null"] == 0
+    # Later messages of the quiet topic come in as usual.
+    src = churn_feed(spark, sf_small)
+    publish_files(src, CHURN, f"{root}/landing/churn")
+    ingest.run_ingest({"churn": ingest.file_source(spark, f"{root}/landing/churn")}, root, table_names=names)
+    assert _same(src, read_raw_feed(spark, "churn", names["churn"]))
+
+
+def test_continuous_ingest_fills_the_named_table(spark, sf_small):
+    root = work_dir(spark, "test-continuous")
+    src = churn_feed(spark, sf_small)
+    half = F.col("churn_event_id").cast("long") % 2 == 0
+    publish_files(src.where(half), CHURN, f"{root}/landing")
+    ingest.run_ingest({"churn": ingest.file_source(spark, f"{root}/landing")}, root, available_now=False, table_names={"churn": _name(root)}, processing_time="0 seconds")
+    q = next(q for q in spark.streams.active if q.name == "ingest_churn")
+    try:
+        q.processAllAvailable()
+        assert _same(src.where(half), read_raw_feed(spark, "churn", _name(root)))
+        publish_files(src.where(~half), CHURN, f"{root}/landing")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _same(src, read_raw_feed(spark, "churn", _name(root))) and spark.table(_name(root)).select("batch").distinct().count() == 2
+
+
+def test_hot_month_and_user_are_many_files(spark, sf_small):
+    """A third of all rows on one user and month: no file over the set size, no task over twice the median."""
+    rows = engagement_feed(spark, sf_small)
+    key = F.crc32(F.col("engagement_id").cast("binary"))
+    many = spark.range(60).crossJoin(F.broadcast(rows)).withColumn("engagement_id", F.concat_ws("-", "engagement_id", "id")).drop("id")
+    hot = key % 3 == 0
+    many = many.withColumns({
+        "user_id": F.when(hot, F.lit("hot")).otherwise(F.col("user_id")),
+        "event_time": F.when(hot, F.lit("2024-01-15").cast("timestamp")).otherwise(F.add_months("event_time", (key % 12 + 1).cast("int")).cast("timestamp"))})
+    root = work_dir(spark, "test-hot")
+    paths = ingest.paths_of(schemas.ENGAGEMENT, root)
+    messages = json_events.encode_events(many, schemas.ENGAGEMENT).repartition(16)
+    size = 150_000
+    ingest.write_batch(messages, 0, schemas.ENGAGEMENT, paths, file_bytes=size)
+    stored = ingest.read_raw_table(spark, paths, schemas.ENGAGEMENT)
+    assert stored.count() == many.count()
+    files = _files(paths.table)
+    hot_files = sorted(n for f, n in files.items() if "/month=1/" in f)
+    assert len(hot_files) > 3 and max(files.values()) <= size
+    tasks = stored.groupBy(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1)).count().toPandas()["count"]
+    assert tasks.max() <= 2 * tasks.median()
+
+
+def _batches(spark, sf_small, n=5):
+    """A churn table of n batches, in several months, with rejects."""
+    root = work_dir(spark, "test-compact")
+    paths = ingest.paths_of(CHURN, root)
+    name = _name(root)
+    ingest.ensure_folder(spark, CHURN, paths.table)
+    ingest.ensure_raw_table(spark, CHURN, paths.table, name)
+    key = F.col("churn_event_id").cast("long")
+    src = churn_feed(spark, sf_small).withColumn("event_time", F.add_months("event_time", (key % 3).cast("int")).cast("timestamp"))
+    for b in range(n):
+        messages = json_events.encode_events(src.where(key % n == b), CHURN).unionByName(spark.createDataFrame([(f"{{{b}",)], "value string"))
+        ingest.write_batch(messages, b, CHURN, paths, name)
+    return paths, name, src
+
+
+def _whole(spark, paths, name, src, rejects=5):
+    assert _same(src, ingest.read_raw_table(spark, paths, CHURN))
+    assert _same(src, read_raw_feed(spark, "churn", paths.table)) and _same(src, read_raw_feed(spark, "churn", name))
+    assert ingest.read_rejects(spark, paths, CHURN).count() == rejects
+
+
+def test_compaction_merges_and_keeps_rows(spark, sf_small):
+    paths, name, src = _batches(spark, sf_small)
+    before = len(_files(paths.base))
+    assert compaction.compact(spark, paths.base, CHURN, min_batches=9) == 0
+    assert compaction.compact(spark, paths.base, CHURN, min_batches=2, table=name) == 4  # three months and the rejects
+    _whole(spark, paths, name, src)
+    assert _same(src, spark.table(name))
+    assert len(_files(paths.base)) < before and spark.table(name).select("batch").distinct().count() == 2  # the newest batch stays
+    # More batches, and merged again: the older generation goes into the new one.
+    more = src.withColumn("churn_event_id", F.concat(F.lit("n"), "churn_event_id"))
+    for b in (5, 6):
+        ingest.write_batch(json_events.encode_events(more.where(F.col("churn_event_id").endswith("3") == (b == 5)), CHURN), b, CHURN, paths, name)
+    assert compaction.compact(spark, paths.base, CHURN, min_batches=2, table=name) > 0
+    _whole(spark, paths, name, src.unionByName(more))
+    assert _same(src.unionByName(more), spark.table(name))
+    with pytest.raises(ValueError, match="merged"):
+        ingest.write_batch(json_events.encode_events(src, CHURN), 1, CHURN, paths)
+
+
+@pytest.mark.parametrize("step", ["_commit", "delete_folder"])
+def test_compaction_killed(spark, sf_small, monkeypatch, step):
+    paths, name, src = _batches(spark, sf_small)
+
+    def killed(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(compaction, step, killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            compaction.compact(spark, paths.base, CHURN, min_batches=2, table=name)
+    _whole(spark, paths, name, src)
+    if step == "_commit":  # the next run finds one month more to merge
+        assert compaction.compact(spark, paths.base, CHURN, min_batches=3, table=name) == 4
+    else:
+        assert compaction.clean(spark, paths.base, CHURN, name) > 0
+    _whole(spark, paths, name, src)
+    assert compaction.clean(spark, paths.base, CHURN, name) == 0
+    assert _same(src, spark.table(name))
