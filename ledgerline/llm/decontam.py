@@ -7,6 +7,13 @@ than k apart. So hits of the passage's q-grams are counted in overlapping bands
 of diagonals, the bands that reach the bound are kept, and there the passage is
 aligned within the band to settle the number of edits.
 
+q-grams that a block's passages have many times (over ``HEAVY``: stock phrases, runs of one
+letter) aren't counted in bands, where they would hit everywhere; a passage's bound is
+lowered by as many as it has of them, which keeps the lemma. A passage of which nothing would be left to count is
+held against a text if their common q-grams, wherever they lie, reach the bound. Before any
+alignment a bit-parallel pass over the place (or the text) counts the least edits, and
+most places end there.
+
 The benchmark is the query set: it goes through the driver in blocks of about 2 MB of text, and
 each block is held against all documents, whole texts, in one pass. That is meant
 for benchmarks of some blocks (tens of MB): each further block is one more scan. Texts are worked
@@ -17,8 +24,8 @@ text. Nulls and odd rows: null and empty texts have no regions; an empty passage
 is found nowhere; one whose error share is under one edit (under 10 characters)
 must occur exactly. Only whole passages count: a document that lacks more than
 the error share of an item does not hold it. Repeated documents each get their rows; of equal passages each item is
-reported. A benchmark row with a null ``item_id`` is not searched for, so a document
-that holds only such passages counts as clean. Extra columns are ignored.
+reported. A benchmark row with a null ``item_id`` is searched for like any other, and reported
+as null. Extra columns are ignored; a column to keep may not be named like a result.
 """
 
 from __future__ import annotations
@@ -34,7 +41,8 @@ from pyspark.sql import functions as F
 from .common import blocks
 
 Q, ERROR = 8, 0.1
-RUN_CHARS, BLOCK_CHARS = 1 << 20, 2 << 20
+RUN_CHARS, BLOCK_CHARS = 1 << 17, 2 << 20
+HEAVY = 16
 BASE = 0x9E3779B97F4A7C15
 FILTER_BITS = 22
 SCHEMA = "item_id long, start long, end long, edits int, item_chars int"
@@ -71,7 +79,7 @@ def edit_budget(m: int, q: int = Q, error: float = ERROR) -> int:
 
 
 class Grams:
-    """The q-grams of those passages of an index that have the same q."""
+    """The q-grams of those passages of an index that have the same q: the light ones with their places, the others only counted."""
 
     def __init__(self, texts: list[str], items: list[int], q: int):
         self.q = q
@@ -79,18 +87,49 @@ class Grams:
         h = np.concatenate([g for g, _ in grams])
         item = np.concatenate([np.full(len(g), i) for g, i in grams])
         at = np.concatenate([np.arange(len(g)) for g, _ in grams])
+        keys, which, times = np.unique(h, return_inverse=True, return_counts=True)
+        light = times[which] <= HEAVY
+        self.heavy_of = np.bincount(item[~light], minlength=len(texts))
+        self.every = h, item
+        self.light = h[light], item[light], at[light]
+
+    def settle(self, counted: np.ndarray) -> None:
+        """Keep the places of the light grams of the passages marked as counted, and the other passages' grams as numbers."""
+        h, item, at = (x[counted[self.light[1]]] for x in self.light)
         order = np.argsort(h, kind="stable")
         self.item, self.at = item[order], at[order]
         self.keys, self.first, self.times = np.unique(h[order], return_index=True, return_counts=True)
+        h, item = (x[~counted[self.every[1]]] for x in self.every)
+        self.whole_keys, key = np.unique(h, return_inverse=True)
+        pairs, self.whole_times = np.unique(np.stack([key, item]), axis=1, return_counts=True)
+        self.whole_item, self.whole_first = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.whole_keys) + 1))
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
-        self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        for keys in (self.keys, self.whole_keys):
+            self.maybe[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        del self.light, self.every
+
+    def places(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose q-gram may be some passage's, and all hashes."""
+        if len(chars) < self.q:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        h = gram_hashes(chars, self.q)
+        return np.flatnonzero(self.maybe[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]), h
+
+
+def found_in(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of h are among the sorted keys, and where."""
+    if not len(keys):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    at = np.searchsorted(keys, h)
+    at[at == len(keys)] = 0
+    return keys[at] == h, at
 
 
 @dataclass
 class Index:
     """The q-grams of a block of passages; ``q`` is that of long ones."""
 
-    ids: list[int]
+    ids: list[int | None]
     texts: list[str]
     q: int
     error: float
@@ -103,20 +142,39 @@ class Index:
         self.bound = m - size + 1 - self.k * size
         self.short = np.flatnonzero(m < size).tolist()
         self.grams = [Grams(self.texts, np.flatnonzero((size == q) & (m >= q)).tolist(), int(q)) for q in np.unique(size[m >= size])]
+        heavy = sum((g.heavy_of for g in self.grams), np.zeros(len(m), np.int64))
+        self.left = self.bound - heavy
+        for g in self.grams:
+            g.settle(self.left > 0)
         self.longest = int(max(m, default=0))
 
+    def whole(self, chars: np.ndarray, spans: list) -> list[tuple[int, int]]:
+        """(span, item): the uncounted passages whose q-grams the span has enough of, in any order."""
+        out = []
+        for g in self.grams:
+            if not len(g.whole_keys):
+                continue
+            place, h = g.places(chars)
+            true, key = found_in(g.whole_keys, h[place])
+            place, key = place[true], key[true]
+            for s, (start, end, _) in enumerate(spans):
+                a, z = np.searchsorted(place, (start, end))
+                if a == z:
+                    continue
+                n = np.zeros(len(self.texts), np.int64)
+                for k in np.unique(key[a:z]).tolist():
+                    one = slice(g.whole_first[k], g.whole_first[k + 1])
+                    n[g.whole_item[one]] += g.whole_times[one]
+                out += [(s, int(i)) for i in np.flatnonzero((n > 0) & (n >= self.bound))]
+        return out
+
     def bands(self, chars: np.ndarray) -> list[tuple[int, int]]:
         """(item, least diagonal) of the bands that reach the bound; a band is 2 (k + 1) diagonals."""
         return sorted(set().union(*(self._bands(g, chars) for g in self.grams)))
 
     def _bands(self, grams: Grams, chars: np.ndarray) -> set[tuple[int, int]]:
-        if len(chars) < grams.q:
-            return set()
-        h = gram_hashes(chars, grams.q)
-        place = np.flatnonzero(grams.maybe[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        key = np.searchsorted(grams.keys, h[place])
-        key[key == len(grams.keys)] = 0
-        true = grams.keys[key] == h[place]
+        place, h = grams.places(chars)
+        true, key = found_in(grams.keys, h[place])
         place, key = place[true], key[true]
         times = grams.times[key]
         total = int(times.sum())
@@ -137,7 +195,7 @@ class Index:
         found = which // wide
         low = which % wide
         out = set()
-        for i in np.flatnonzero(n + follows >= self.bound[found]).tolist():
+        for i in np.flatnonzero(n + follows >= self.left[found]).tolist():
             out.add((int(found[i]), int(low[i] * (self.k[found[i]] + 1) - self.longest)))
         # A band that only its second half fills starts one step earlier; its hits are then in the band above, which counts them too.
         return out
@@ -191,9 +249,72 @@ def regions(index: Index, text: str) -> dict[int, tuple[int, int, int]]:
     return best
 
 
+def least_edits(passage: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """(edits, end): the least edits of the passage against any part of the text, and where the first such part ends. Bit-parallel: a row is a number."""
+    m = len(passage)
+    masks: dict[int, int] = {}
+    for i, c in enumerate(passage.tolist()):
+        masks[c] = masks.get(c, 0) | 1 << i
+    top, ones = 1 << (m - 1), (1 << m) - 1
+    up, down, score, best, end = ones, 0, m, m, 0
+    for j, c in enumerate(text.tolist(), 1):
+        same = masks.get(c, 0)
+        v = same | down
+        h = (((same & up) + up) ^ up) | same
+        plus, minus = (down | ~(h | up)) & ones, up & h
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+            if score < best:
+                best, end = score, j
+        plus, minus = plus << 1 & ones, minus << 1 & ones
+        up, down = (minus | ~(v | plus)) & ones, plus & v
+    return best, end
+
+
+def least_edits_of_many(passages: list[np.ndarray], text: np.ndarray, at_once: int = 1024) -> list[tuple[int, int]]:
+    """``least_edits`` of each passage: the same steps for many side by side, a row being some 64-bit numbers."""
+    if len(passages) < 24:
+        return [least_edits(p, text) for p in passages]
+    if len(passages) > at_once:
+        return [x for a in range(0, len(passages), at_once) for x in least_edits_of_many(passages[a:a + at_once], text)]
+    m = np.array([len(p) for p in passages])
+    n, words, one = len(m), int((m.max() + 63) // 64), np.uint64(1)
+    letters, coded = np.unique(text, return_inverse=True)
+    masks = np.zeros((len(letters), words, n), np.uint64)
+    for i, p in enumerate(passages):
+        true, letter = found_in(letters, p)
+        at = np.flatnonzero(true)
+        np.bitwise_or.at(masks, (letter[at], at // 64, np.full(len(at), i)), one << (at % 64).astype(np.uint64))
+    lane, top_word, top_bit = np.arange(n), (m - 1) // 64, ((m - 1) % 64).astype(np.uint64)
+    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    score, best, end = m.copy(), m.copy(), np.zeros(n, np.int64)
+    plus, minus = np.empty_like(up), np.empty_like(up)
+    for j, c in enumerate(coded.tolist(), 1):
+        carry = plus_in = minus_in = np.zeros(n, np.uint64)
+        for w in range(words):
+            same, u, d = masks[c, w], up[w], down[w]
+            both = same & u
+            half = both + u
+            total = half + carry
+            carry = ((half < both) | (total < half)).astype(np.uint64)
+            h = (total ^ u) | same
+            plus[w], minus[w] = d | ~(h | u), u & h
+            v = same | d
+            p_now, m_now = plus[w] << one | plus_in, minus[w] << one | minus_in
+            plus_in, minus_in = plus[w] >> np.uint64(63), minus[w] >> np.uint64(63)
+            up[w], down[w] = m_now | ~(v | p_now), p_now & v
+        score += (plus[top_word, lane] >> top_bit & one).astype(np.int64) - (minus[top_word, lane] >> top_bit & one).astype(np.int64)
+        less = score < best
+        best[less], end[less] = score[less], j
+    return list(zip(best.tolist(), end.tolist()))
+
+
 def settle(index: Index, chars: np.ndarray, spans: list) -> None:
     """Verifies the bands of a run of characters; spans (start, end, put) are its texts in order."""
     starts = np.array([s[0] for s in spans])
+    exact: set[tuple[int, int]] = set()
     for item, low in index.bands(chars):
         k, m = int(index.k[item]), int(index.m[item])
         high = low + 2 * (k + 1) - 1
@@ -201,12 +322,33 @@ def settle(index: Index, chars: np.ndarray, spans: list) -> None:
             start, end, put = spans[s]
             if start > high:
                 break
+            if (s, item) in exact:  # bands come in order: no later one starts before the exact place
+                continue
             part, off = chars[max(start, low - k):min(end, high + m + k)], max(start, low - k)
             passage = codes(index.texts[item])
             if (at := _exact(passage, part)) is not None:
                 put(item, (0, at + off - start, at + off - start + m))
-            elif (found := align(passage, part, low - k - off, high + k - off, k)) is not None:
+                exact.add((s, item))
+            elif least_edits(passage, part)[0] <= k and (found := align(passage, part, low - k - off, high + k - off, k)) is not None:
                 put(item, (found[0], found[1] + off - start, found[2] + off - start))
+    held: dict[int, list[int]] = {}
+    for s, item in index.whole(chars, spans):
+        held.setdefault(s, []).append(item)
+    for s, items in held.items():
+        start, end, put = spans[s]
+        part, rest = chars[start:end], []
+        for item in items:
+            if (at := _exact(codes(index.texts[item]), part)) is not None:
+                put(item, (0, at, at + int(index.m[item])))
+            else:
+                rest.append(item)
+        passages = [codes(index.texts[i]) for i in rest]
+        for item, passage, (edits, stop) in zip(rest, passages, least_edits_of_many(passages, part)):
+            k, m = int(index.k[item]), int(index.m[item])
+            if edits <= k:
+                a = max(0, stop - m - k)
+                found = align(passage, part[a:stop], -k, 2 * k, k)
+                put(item, (found[0], found[1] + a, found[2] + a))
 
 
 def _exact(passage: np.ndarray, part: np.ndarray) -> int | None:
@@ -265,6 +407,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], q: int
 
     Returned is the place with the fewest edits, at most ``error`` of the item's characters.
     """
+    if clash := {c.split()[0] for c in SCHEMA.split(", ")} & set(keep):
+        raise ValueError(f"results are named like columns to keep: {sorted(clash)}")
     texts = docs.select(*keep, "text")
     kinds = ", ".join(f"`{n}` {t}" for n, t in texts.dtypes if n != "text")
     out = None
@@ -289,10 +433,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, erro
     return docs
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[str]]]:
     """The benchmark's items in blocks of about BLOCK_CHARS; one empty block if it has none."""
     ids, texts, size, some = [], [], 0, False
-    for r in benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
         text = normal(r["text"])
         if ids and size + len(text) > BLOCK_CHARS:
             yield ids, texts

@@ -84,16 +84,78 @@ def test_odd_rows(spark, monkeypatch):
         [(1, "The quick  brown fox jumps over the lazy dog", "a"), (2, None, "b"), (3, "", None), (4, "saute", "c"), (None, "x", "d"), (5, "y z", "e")],
         "item_id long, text string, doc_id string")
     got = decontam.contaminated(docs, bench, ["doc_id"]).collect()
-    want = [(1, 1), (2, 1), (2, 1), (8, 5), (None, 4)]
+    want = [(1, 1), (2, 1), (2, 1), (8, 5), (None, 4), (1, None), (2, None), (2, None), (8, None), (9, None)]
     assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=repr) == sorted(want, key=repr)
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 1)  # a block an item
     assert sorted(decontam.contaminated(docs, bench, ["doc_id"]).collect(), key=repr) == sorted(got, key=repr)
     clean = decontam.without_contaminated(docs, bench)
-    assert clean.columns == docs.columns and clean.count() == docs.count() - len(want)
+    assert clean.columns == docs.columns and clean.count() == docs.count() - 7
     assert decontam.contaminated(no_docs(spark), bench, ["doc_id"]).count() == 0
     assert decontam.contaminated(docs, bench.limit(0), ["doc_id"]).count() == 0
 
 
+def full_table(passage, text):
+    """Least edits by the full table, a row at once: the running minimum makes the insertions."""
+    t, steps = decontam.codes(text), np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, p in enumerate(decontam.codes(passage), 1):
+        new = np.concatenate([[i], np.minimum(row[:-1] + (t != p), row[1:] + 1)])
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row.min())
+
+
+def test_query_against_full_tables(spark, sf_small):
+    """Every document against every item, inexact hits included."""
+    docs, items = some_docs(spark, sf_small), table(spark, sf_small, "benchmark").toPandas()
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in queries.op4_benchmark_decontamination(spark, sf_small).collect()}
+    texts = [decontam.normal(t) for t in docs["text"]]
+    gap = "\uffff" * 64  # a passage across two texts would need more edits than any budget
+    joined = gap.join(texts)
+    assert 0.1 * max(map(len, map(decontam.normal, items["text"]))) < len(gap)
+    near = [(i, decontam.normal(p)) for i, p in zip(items["item_id"], items["text"]) if full_table(decontam.normal(p), joined) <= 0.1 * len(decontam.normal(p))]
+    want = {(d, i): e for i, p in near for d, t in zip(docs["doc_id"], texts) if (e := full_table(p, t)) <= int(0.1 * len(p))}
+    assert got == want and want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab", min_size=1, max_size=12), st.text("ab", max_size=20))
+def test_least_edits_against_the_full_table(passage, text):
+    edits, end = decontam.least_edits(decontam.codes(passage), decontam.codes(text))
+    assert edits == full_table(passage, text) == full_table(passage, text[:end])
+
+
+def test_least_edits_side_by_side():
+    r = np.random.default_rng(12)
+    for sizes in ((1, 63, 64, 65), (128, 129, 5, 200)):
+        passages = [r.integers(0, 3, sizes[i % 4]).astype(np.uint32) for i in range(30)]
+        text = r.integers(0, 3, 300).astype(np.uint32)
+        assert decontam.least_edits_of_many(passages, text, 27) == [decontam.least_edits(p, text) for p in passages]
+
+
+def test_common_grams():
+    """Texts and passages of stock phrases and of one letter: as by the full table, quickly and in little memory."""
+    import time
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    stock = "which of the following statements about the passage is most nearly correct, given what you know "
+    word = lambda n: "".join(r.choice(list("abcdefghijklmnop "), n))
+    items = [decontam.normal("a" * 400), *[decontam.normal(stock + word(150)) for _ in range(1000)], *[decontam.normal(stock + word(6)) for _ in range(40)]]
+    index = decontam.Index(list(range(len(items))), items, decontam.Q, decontam.ERROR)
+    assert (index.left <= 0).sum() > 20
+    texts = ["a" * 32000, decontam.normal(stock * 16), decontam.normal(word(200) + items[1010] + word(100) + edited(items[5], 9, r) + word(50)), "a" * 370 + "b" * 20]
+    for t, seconds in zip(texts, (1.0, 1.0, 5.0, 1.0)):
+        began = time.process_time()
+        found = decontam.regions(index, t)
+        assert time.process_time() - began < seconds
+        some = [0, 5, 1010, *range(1001, 1041, 5), *range(1, 1001, 100)]
+        assert {i: found[i][0] for i in some if i in found} == {i: e for i in some if (e := full_table(items[i], t)) <= index.k[i]}
+    tracemalloc.start()
+    decontam.regions(index, texts[0])
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_long_text_in_pieces(monkeypatch):
     monkeypatch.setattr(decontam, "RUN_CHARS", 500)
     r = np.random.default_rng(8)
