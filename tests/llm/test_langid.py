@@ -42,6 +42,87 @@ def test_forward_and_expected_counts_against_all_segmentations():
     assert np.allclose(lattice.forward(p)[-1], total) and np.allclose(out, want)
 
 
+def test_logarithms_and_plain_sums_agree(monkeypatch):
+    pieces, _ = small()
+    p = np.random.default_rng(1).dirichlet(np.ones(6), 3).T
+    lattice = langid.Lattice([b"abcabcab", b"aabbccab", b"cabcabca"], pd.Index(pieces.hashes))
+    weights = np.array([[1.0, 0.0, 2.0], [2.0, 1.0, 0.0], [0.0, 3.0, 1.0]])
+    plain, logs = lattice.logs(p), np.zeros((3, 6))
+    lattice.expected(p, weights, logs)
+    monkeypatch.setattr(langid, "SAFE", 0.0)
+    again = np.zeros((3, 6))
+    lattice.expected(p, weights, again)
+    assert np.allclose(lattice.logs(p), plain) and np.allclose(again, logs)
+
+
+def test_tiny_probabilities_and_long_words():
+    """Nothing leaves the range of a double: sums of words of thousands of bytes with pieces of probability 1e-20."""
+    pieces, names = small()
+    p = np.full((6, 2), 1e-20)
+    p[3] = 1e-3, 1e-5
+    word = "ab" * 2000 + "c"
+    lattice = langid.Lattice([word.encode()], pd.Index(pieces.hashes))
+    # Only one or two ways matter: all "ab", the last "bc" or "abc" instead.
+    logs = lattice.logs(p)[0]
+    assert np.allclose(logs, [2000 * np.log(1e-3) + np.log(1e-20), 2000 * np.log(1e-5) + np.log(1e-20)], rtol=1e-3)
+    out = np.zeros((2, 6))
+    lattice.expected(p, np.array([[3.0, 0.0]]), out)
+    assert np.isfinite(out).all() and abs(out[0, 3] - 6000) < 5 and not out[1].any()
+
+
+def test_long_pieces_count():
+    """A piece longer than PIECE bytes is one more way to segment a word."""
+    parts = [*b"abcdefghijklmnopqrstuvwxyz"]
+    long = b"abcdefghijklmnopqrstu"
+    listed = [bytes([c]) for c in parts] + [long]
+    hashes = np.array([langid._hash(x) for x in listed], np.uint64)
+    p = np.full((len(listed), 1), 0.1)
+    word = b"xx" + long + b"yz"
+    lattice = langid.Lattice([word, word[::-1]], pd.Index(hashes), (1, len(long)), np.array([langid._hash(long[:langid.PIECE])], np.uint64))
+    got = lattice.forward(p)[-1][:, 0]
+    assert np.allclose(got, [0.1 ** 25 + 0.1 ** 5, 0.1 ** 25], rtol=1e-9)
+    real = langid.Pieces.load(langid.VOCABULARY)
+    assert max(real.sizes) > langid.PIECE and len(real.long_heads) > 10
+
+
+def test_query_against_enumerated_segmentations(spark, tmp_path):
+    """The query's own model and scores on a small table, with every segmentation of every word added up."""
+    rng = np.random.default_rng(4)
+    words = {"xx": ["abca", "bcab", "aab", "caab"], "yy": ["cba", "ccab", "bbca", "acb"]}
+    texts, langs = [], []
+    for i in range(60):
+        lang = ("xx", "yy")[i % 2]
+        pool = words[lang] * 3 + words[("yy", "xx")[i % 2]]
+        texts.append(" ".join(rng.choice(pool, rng.integers(1, 6))))
+        langs.append(lang if i % 7 else None)
+    docs = pd.DataFrame({"doc_id": range(60), "text": texts, "lang": langs})
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op3_language_id(spark, str(tmp_path)).collect()}
+    listed = {langid.base64.b64decode(x.split()[0]) for x in open(langid.VOCABULARY, "rb") if x.strip()} | {bytes([i]) for i in range(256)}
+    n_pieces = len(listed)
+    ways = {w: [[c.encode() for c in cut] for cut in cuts(" " + w)] for ws in words.values() for w in ws}
+    ways = {w: [c for c in cs if all(x in listed for x in c)] for w, cs in ways.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(60)}
+    p = {}
+    for lang in words:
+        counts = {}
+        for i in range(60):
+            if held[i] or langs[i] != lang:
+                continue
+            for w in texts[i].split():
+                total = sum(n_pieces ** -len(c) for c in ways[w])
+                for c in ways[w]:
+                    for x in c:
+                        counts[x] = counts.get(x, 0) + n_pieces ** -len(c) / total
+        whole = sum(counts.values()) + 0.1 * n_pieces
+        p[lang] = lambda x, counts=counts, whole=whole: (counts.get(x, 0) + 0.1) / whole
+    for i in range(60):
+        logs = {lang: sum(np.log(sum(np.prod([p[lang](x) for x in c]) for c in ways[w])) for w in texts[i].split()) for lang in words}
+        best = max(logs, key=logs.get)
+        score = 1 / sum(np.exp(v - logs[best]) for v in logs.values())
+        assert got[i]["held_out"] == held[i] and got[i]["lang_pred"] == best and abs(got[i]["score"] - score) < 1e-4
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = some_docs(spark, sf).set_index("doc_id")
