@@ -378,6 +378,22 @@ def q_restate_revenue(spark, sf_dir):
     return _model_columns(spark, path, old.columns)
 
 
+@query("restate_one_commit")
+def q_restate_commit(spark, sf_dir):
+    """M2 in versions: stored from the older version of the feeds, both months restated by one commit each; the first version still reads as it was."""
+    feeds = _feeds(spark, sf_dir, names=M2_FEEDS)
+    path = work_dir(spark, "subscription_revenue")
+    old = subscription_revenue_summary(faults.another_version(feeds, MISSING_MONTH, STRAY_MONTH))
+    store = materialize.store_at(spark, path, versioned=True)
+    first = store.write(old, ("user_id", "event_date"))
+    for month in (JUNE_98, JAN_03):
+        materialize.restate_subscription_revenue(feeds, path, month, month, versioned=True)
+    june = (F.col("year") == JUNE_98.year) & (F.col("month") == JUNE_98.month)
+    if not store.read(first).where(june).isEmpty():
+        raise RuntimeError("the first version has changed")
+    return store.read().select(*old.columns)
+
+
 @query("rebuild_revenue")
 def q_rebuild(spark, sf_dir):
     """M2 built from the older version, then in full again: no stale month stays, even in a session with dynamic overwrite."""

@@ -39,9 +39,10 @@ MODELS: dict[str, Model] = {
 }
 
 
-def build(feeds: dict[str, DataFrame], out_root: str, names=None) -> dict[str, DataFrame]:
+def build(feeds: dict[str, DataFrame], out_root: str, names=None, versioned: bool = False) -> dict[str, DataFrame]:
     """Materialize models under ``out_root/<name>`` and audit the written tables.
 
+    ``versioned``: each as a new version of its table, in one commit.
     Returns name -> one-row DataFrame of violation counts per attached audit
     (each audit evaluated over the stored table in a single scan).
     """
@@ -50,10 +51,9 @@ def build(feeds: dict[str, DataFrame], out_root: str, names=None) -> dict[str, D
         model = MODELS[name]
         path = f"{out_root.rstrip('/')}/{name}"
         df = model.build(feeds)
-        partition_by = ("year", "month")
-        materialize.write_model(df, path, partition_by=partition_by,
-                                cluster_by=tuple(k for k in model.keys if k not in partition_by))
-        stored = df.sparkSession.read.parquet(path)
+        store = materialize.store_at(df.sparkSession, path, versioned)
+        store.write(df, tuple(k for k in model.keys if k not in materialize.PARTITION_COLUMNS))
+        stored = store.read()
         results[name] = audits.audit_counts(stored, model.audits)
     return results
 
@@ -65,7 +65,7 @@ RESTATERS = {
 
 
 def restate(name: str, feeds: dict[str, DataFrame], out_root: str,
-            first_month: dt.date, last_month: dt.date) -> None:
+            first_month: dt.date, last_month: dt.date, versioned: bool = False) -> None:
     """Recompute one model for [first_month, last_month] and replace just those
     (year, month) partitions of its table under ``out_root/<name>``."""
-    RESTATERS[name](feeds, f"{out_root.rstrip('/')}/{name}", first_month, last_month)
+    RESTATERS[name](feeds, f"{out_root.rstrip('/')}/{name}", first_month, last_month, versioned=versioned)

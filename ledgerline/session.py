@@ -76,8 +76,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the file system it is in, whatever that is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder from whatever file system it is in; nothing happens if it does not exist."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    """Remove a folder; nothing happens if it does not exist."""
+    place, files = _place(spark, path)
+    files.delete(place, True)

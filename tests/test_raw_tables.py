@@ -140,7 +140,7 @@ def test_compaction_merges_and_keeps_rows(spark, sf_small):
         ingest.write_batch(json_events.encode_events(src, CHURN), 1, CHURN, paths)
 
 
-@pytest.mark.parametrize("step", ["_commit", "delete_folder"])
+@pytest.mark.parametrize("step", ["write_commit", "delete_folder"])
 def test_compaction_killed(spark, sf_small, monkeypatch, step):
     paths, name, src = _batches(spark, sf_small)
 
@@ -152,10 +152,12 @@ def test_compaction_killed(spark, sf_small, monkeypatch, step):
         with pytest.raises(RuntimeError, match="killed"):
             compaction.compact(spark, paths.base, CHURN, min_batches=2, table=name)
     _whole(spark, paths, name, src)
-    if step == "_commit":  # the next run finds one month more to merge
+    if step == "write_commit":  # the next run finds one month more to merge
         assert compaction.compact(spark, paths.base, CHURN, min_batches=3, table=name) == 4
     else:
         assert compaction.clean(spark, paths.base, CHURN, name) > 0
     _whole(spark, paths, name, src)
     assert compaction.clean(spark, paths.base, CHURN, name) == 0
     assert _same(src, spark.table(name))
+    assert compaction.clean(spark, paths.base, CHURN, name, orphans=True) == (4 if step == "write_commit" else 0)
+    _whole(spark, paths, name, src)

@@ -1,0 +1,82 @@
+"""Model tables in versions: whole before and after, whatever fails in between."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.plans import materialize, registry, versions
+from ledgerline.session import work_dir
+from ledgerline.sources.feeds import load_feeds
+
+ROWS = "user_id string, event_date string, n bigint, year int, month int"
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(rows, ROWS)
+
+
+def _read(store, version=None):
+    return sorted(map(tuple, store.read(version).collect()))
+
+
+def test_restatement_is_one_commit(spark, monkeypatch):
+    store = versions.VersionedStore(spark, work_dir(spark, "test-versions"))
+    assert not store.exists()
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    old = [("a", "d", 1, 2020, 1), ("b", "d", 2, 2020, 2), ("c", "d", 3, 2020, 3)]
+    assert store.write(_rows(spark, *old), ("user_id",)) == 1 and _read(store) == old
+    both = materialize.months_between(dt.date(2020, 1, 1), dt.date(2020, 2, 1))
+    new = _rows(spark, ("a", "d", 9, 2020, 1))  # February becomes empty
+
+    def killed(*args):
+        raise RuntimeError("killed between the data and the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "write_commit", killed)
+        with pytest.raises(RuntimeError):
+            store.replace_months(new.union(_rows(spark, ("z", "d", 0, 2020, 1))), both, ("user_id",))
+    assert _read(store) == old  # the rows lie there, but no commit names them
+    assert store.replace_months(new, both, ("user_id",)) == 2
+    assert _read(store) == [("a", "d", 9, 2020, 1), ("c", "d", 3, 2020, 3)] and _read(store, 1) == old
+    # March was not copied: it is the first version's.
+    commits = spark.read.schema(f"{versions.COMMIT}, commit bigint").parquet(store.commits).where("month = 3")
+    assert commits.select("version").distinct().count() == 1 and commits.count() == 2
+    assert store.vacuum() == 0 and _read(store) == [("a", "d", 9, 2020, 1), ("c", "d", 3, 2020, 3)]
+    assert store.write(new, ("user_id",)) == 3 and store.vacuum(keep=1) == 2 and _read(store) == [("a", "d", 9, 2020, 1)]
+    assert store.vacuum(orphans=True) == 1 and _read(store) == [("a", "d", 9, 2020, 1)]  # what the killed attempt had written
+    assert store.write(new.limit(0), ("user_id",)) == 4 and _read(store) == [] and store.read().schema == new.schema
+
+
+def test_only_named_folders_are_read(spark):
+    store = versions.VersionedStore(spark, work_dir(spark, "test-versions"))
+    for n in range(3):
+        store.write(_rows(spark, *[("u", "d", n, 2020, m) for m in range(1, 13)]), ("user_id",))
+    read = store.read().where("month = 5")
+    assert [r["n"] for r in read.collect()] == [2]
+    assert read.select(F.input_file_name()).distinct().count() == 1
+
+
+def test_second_writer_fails(spark, monkeypatch):
+    store = versions.VersionedStore(spark, work_dir(spark, "test-versions"))
+    rows = _rows(spark, ("a", "d", 1, 2020, 1))
+    store.write(rows, ("user_id",))
+    with monkeypatch.context() as m:
+        m.setattr(store, "last", lambda: 0)  # as seen before the other's commit
+        with pytest.raises(Exception, match="exists"):
+            store._commit(rows.limit(0), ("user_id",), spark.createDataFrame([], versions.COMMIT))
+    assert _read(store) == [("a", "d", 1, 2020, 1)]
+
+
+def test_build_and_restate_versioned(spark, sf_small):
+    feeds = load_feeds(spark, sf_small, names=("subscription", "revenue"))
+    out = work_dir(spark, "test-versions")
+    name = "subscription_revenue_summary"
+    counts = registry.build(feeds, out, names=[name], versioned=True)[name].first()
+    plain = registry.build(feeds, f"{out}/plain", names=[name])[name].first()
+    assert counts == plain
+    registry.restate(name, feeds, out, dt.date(1997, 3, 1), dt.date(1997, 4, 1), versioned=True)
+    store = materialize.store_at(spark, f"{out}/{name}", versioned=True)
+    a, b = store.read(), spark.read.parquet(f"{out}/plain/{name}").select(*store.read().columns)
+    assert store.last() == 2 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
