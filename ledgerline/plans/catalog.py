@@ -427,8 +427,8 @@ def q_derived_sub(spark, sf_dir):
 
 @query("derived_revenue")
 def q_derived_rev(spark, sf_dir):
-    """Due date, wire text, season class and delinquency rule per revenue event."""
-    r = feedmod.revenue_feed(spark, sf_dir).where(F.col("payment_method").isNotNull())
+    """Due date, wire text, season class and delinquency rule per revenue event; absent events are dropped."""
+    r = faults.some_absent(feedmod.revenue_feed(spark, sf_dir)).where(F.col("event").isNotNull()).select("event.*")
     return r.select(
         "revenue_id",
         derive.due_date("event_time").alias("due_date_rule"),

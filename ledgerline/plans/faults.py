@@ -98,3 +98,9 @@ def another_version(feeds: dict[str, DataFrame], missing_month: str, stray_month
 def without_a_user(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The feeds before some users had joined: none whose number is divisible by 7."""
     return {name: df.where(_number("user_id") % 7 != 0) for name, df in feeds.items()}
+
+
+def some_absent(df: DataFrame) -> DataFrame:
+    """Revenue events as one column ``event``, absent (NULL) for every fifth line number."""
+    line = F.split("revenue_id", "-")[1].cast("int")
+    return df.select(F.when(line % 5 != 4, F.struct(*df.columns)).alias("event"))

@@ -142,14 +142,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_base(event_id: Column) -> Column:
-    """A risk to start from, 0.2000 to 0.7000 in steps of 0.0001."""
-    return _d("0.20") + (event_id % 5001).cast("decimal(18,0)") * _d("0.0001")
+    """A risk to start from, from the event's number, in steps of a thousandth."""
+    return (event_id % 1000).cast("decimal(18,0)") * _d("0.001")
 
 
 def churn_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir).where(F.col("event_type") == "error")
     val = F.col("value").cast("decimal(18,2)")
-    tickets = F.col("k") % 6
+    tickets = F.col("k") % 9
     drop = derive.clip(val, _d("0"), _d("100"))
     satisfaction = F.col("k") % 10 + 1
     base = churn_base(F.col("event_id"))
@@ -165,8 +165,8 @@ def churn_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").cast("timestamp").alias("event_time"),
         risk.alias("churn_risk"),
-        (F.col("event_id") % 1471 + 30).alias("customer_tenure_days"),
-        (F.col("event_id") % 60 + 1).alias("last_activity_gap_days"),
+        (F.col("user_id") % 2000).alias("customer_tenure_days"),
+        (F.col("event_id") % 90).alias("last_activity_gap_days"),
         tickets.alias("support_ticket_count"),
         drop.alias("usage_drop_percentage"),
         satisfaction.alias("satisfaction_score"),
@@ -200,11 +200,11 @@ def engagement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(etype == "purchase", F.lit(1)).otherwise(F.lit(0)).alias("capital_access_count"),
         (k % 3).alias("report_download_count"),
         (k % 5).alias("integration_usage"),
-        derive.guarded_rate(inquiries, _d("0.05") + (k % 66).cast("decimal(18,0)") * _d("0.01"))
+        derive.guarded_rate(inquiries, (k % 100).cast("decimal(18,0)") * _d("0.01"))
         .alias("financing_conversion_rate"),
         (k % 100 + 1).alias("platform_dependency_score"),
         connected.alias("connected_account_status"),
-        F.when(connected, k % 31).otherwise(k % 6).alias("revenue_insights_views"),
+        F.when(connected, k).otherwise(F.floor(k / 10)).alias("revenue_insights_views"),
     )
     return _finish(out, schemas.ENGAGEMENT)
 

@@ -107,11 +107,11 @@ def _cte_churn(inject: bool) -> str:
     return f"""
 churn_base AS (
   SELECT *,
-    k % 6 AS tickets,
+    k % 9 AS tickets,
     greatest(CAST(0 AS DECIMAL(18,2)), least(CAST(value AS DECIMAL(18,2)), CAST(100 AS DECIMAL(18,2))))
       AS drop_pct,
     k % 10 + 1 AS sat,
-    0.20 + CAST(event_id % 5001 AS DECIMAL(18,0)) * 0.0001 AS base
+    CAST(event_id % 1000 AS DECIMAL(18,0)) * 0.001 AS base
   FROM ev WHERE event_type = 'error'
 ),
 churn_scored AS (
@@ -124,8 +124,8 @@ churn AS (
     CAST(user_id AS VARCHAR) AS user_id,
     CAST(ts AS TIMESTAMP) AS event_time,
     {risk_out} AS churn_risk,
-    CAST(event_id % 1471 + 30 AS BIGINT) AS customer_tenure_days,
-    CAST(event_id % 60 + 1 AS BIGINT) AS last_activity_gap_days,
+    CAST(user_id % 2000 AS BIGINT) AS customer_tenure_days,
+    CAST(event_id % 90 AS BIGINT) AS last_activity_gap_days,
     CAST(tickets AS BIGINT) AS support_ticket_count,
     CAST(drop_pct AS DECIMAL(38,9)) AS usage_drop_percentage,
     CAST(sat AS BIGINT) AS satisfaction_score,
@@ -161,11 +161,11 @@ eng AS (
     CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS BIGINT) AS capital_access_count,
     CAST(k % 3 AS BIGINT) AS report_download_count,
     CAST(k % 5 AS BIGINT) AS integration_usage,
-    CAST(CASE WHEN k % 4 = 0 THEN 0 ELSE 0.05 + CAST(k % 66 AS DECIMAL(18,0)) * 0.01 END
+    CAST(CASE WHEN k % 4 = 0 THEN 0 ELSE CAST(k % 100 AS DECIMAL(18,0)) * 0.01 END
          AS DECIMAL(38,9)) AS financing_conversion_rate,
     CAST(k % 100 + 1 AS BIGINT) AS platform_dependency_score,
     k % 2 = 0 AS connected_account_status,
-    CAST(CASE WHEN k % 2 = 0 THEN k % 31 ELSE k % 6 END AS BIGINT) AS revenue_insights_views
+    CAST(CASE WHEN k % 2 = 0 THEN k ELSE k // 10 END AS BIGINT) AS revenue_insights_views
   FROM ev WHERE event_type <> 'error'
 )"""
 
@@ -256,23 +256,19 @@ agg_engage AS (
 
 
 def users_cte() -> str:
-    return """
-distinct_users AS (
-  SELECT user_id FROM sub UNION SELECT user_id FROM rev
-  UNION SELECT user_id FROM churn UNION SELECT user_id FROM eng
-)"""
+    """Everyone any feed names."""
+    named = " UNION ALL ".join(f"SELECT user_id FROM {feed}" for feed in ("eng", "churn", "rev", "sub"))
+    return f"\ndistinct_users AS (SELECT DISTINCT user_id FROM ({named}))"
 
 
 def calendar_cte(spine, users: str = "distinct_users") -> str:
-    start, end = spine
+    """Months are counted: number n is month n % 12 + 1 of year n // 12."""
+    first, last = (int(str(day)[:4]) * 12 + int(str(day)[5:7]) - 1 for day in spine)
     return f"""
 calendar AS (
-  SELECT u.user_id,
-    CAST(extract(year FROM d) AS INTEGER) AS year,
-    CAST(extract(month FROM d) AS INTEGER) AS month,
-    strftime(d, '%Y-%m') AS month_year
-  FROM {users} u
-  CROSS JOIN unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 MONTH)) AS s(d)
+  SELECT user_id, CAST(n // 12 AS INTEGER) AS year, CAST(n % 12 + 1 AS INTEGER) AS month,
+    printf('%04d-%02d', n // 12, n % 12 + 1) AS month_year
+  FROM range({first}, {last + 1}) AS months(n), {users}
 )"""
 
 
@@ -552,14 +548,14 @@ FROM sub""")
   CASE WHEN repayment_status = 'delayed'
        THEN (CASE WHEN capital_utilization THEN 'payment_failure' ELSE 'no_payment' END)
        ELSE 'no_delinquency' END AS delinquency_rule
-FROM rev WHERE payment_method IS NOT NULL""")
+FROM rev WHERE CAST(split_part(revenue_id, '-', 2) AS INTEGER) % 5 <> 4""")
     q["derived_churn"] = _with(f, """SELECT churn_event_id,
   CAST(round(raw_risk, 2) AS DECIMAL(38,9)) AS churn_score_rule,
   CASE WHEN raw_risk > 0.8 THEN 'other' ELSE 'none' END AS reason_rule,
   CASE WHEN raw_risk > 0.8 THEN id % 2 = 1 ELSE false END AS withdrawal_rule
 FROM (SELECT churn_event_id, CAST(churn_event_id AS BIGINT) AS id,
         CASE WHEN CAST(churn_event_id AS BIGINT) % 13 <> 0 THEN
-          greatest(0, least(0.20 + CAST(CAST(churn_event_id AS BIGINT) % 5001 AS DECIMAL(18,0)) * 0.0001
+          greatest(0, least(CAST(CAST(churn_event_id AS BIGINT) % 1000 AS DECIMAL(18,0)) * 0.001
                             + support_ticket_count * 0.1 + CAST(usage_drop_percentage AS DECIMAL(18,2)) * 0.005
                             - satisfaction_score * 0.04, 1)) END AS raw_risk
       FROM churn)""")
