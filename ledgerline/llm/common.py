@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +30,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Let Spark delete the shuffle files of finished jobs: it does so when the driver has dropped their plans."""
-    gc.collect()
-    from pyspark import SparkContext
-
-    if SparkContext._active_spark_context is not None:
-        SparkContext._active_spark_context._jvm.System.gc()
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in here drop their shuffle files when they end: for jobs whose results are tables in the shared folder."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores before it as make it none of ``columns`` (case apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def ascii_lower(text: Column) -> Column:

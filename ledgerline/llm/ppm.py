@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, release, row_hash, stored
+from .common import blocks, row_hash, shuffle_width, shuffles_dropped, stored
 
 ORDER = 4
 #: Symbols: 0 marks the start, bytes are 1 to 256, 257 is the end; SYMBOL bits hold one.
@@ -204,18 +204,24 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     size, ends = rows.agg(F.sum(F.octet_length("text")), F.count(F.when(~F.col("held_out"), 1))).first()
     n = int((size or 0) // CHUNK_BYTES) + 1
     rows = rows.withColumn("chunk", F.pmod(row_hash(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int"))
-    heard = stored(
-        rows.repartitionById(n, "chunk").sortWithinPartitions("chunk").mapInArrow(_report, "chunk int, word binary, code long, n long"), "reports")
-    # A word has one row a chunk at most, so its window is bounded by the number of chunks.
-    same = Window.partitionBy("word")
-    known = heard.where("word is not null").select("chunk", "word", F.sum("n").over(same).alias("n"), F.min("chunk").over(same).alias("least"))
-    known = stored(known, "words")
-    facts = known.where("least = chunk and n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    # A partition takes many chunks in order, so the shuffle is as wide as the session says, however many chunks there are.
+    spark = docs.sparkSession
+    width = min(n, shuffle_width(spark))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartitionById(width, F.expr(f"chunk % {width}"))
+
+    with shuffles_dropped(spark):
+        heard = stored(dealt(rows).sortWithinPartitions("chunk").mapInArrow(_report, "chunk int, word binary, code long, n long"), "reports")
+        words = heard.where("word is not null").select("chunk", "word", "n")
+        totals = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+        seen = heard.where("code is not null").select("chunk", F.col("code").alias("key"), "n")
+        counts = stored(seen.groupBy("key").agg(F.sum("n").alias("n")), "windows")
+        lengths = stored(code_lengths(counts), "code_lengths")
+    facts = totals.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, kinds = (facts["n"] or 0) + ends, facts["v"] + (ends > 0)
-    seen = heard.where("code is not null").select("chunk", F.col("code").alias("key"), "n")
-    counts = stored(seen.groupBy("key").agg(F.sum("n").alias("n")), "windows")
-    lengths = stored(code_lengths(counts), "code_lengths")
-    release()
+    # A common word has a row a chunk: the join can be split where an aggregate or window could not.
+    known = words.select("chunk", "word").join(totals, "word")
     empty = {"word": "binary", "n": "long", "code": "long", "logp": "double", "doc_id": "long", "text": "string", "held_out": "boolean"}
 
     def as_row(df: DataFrame, kind: int) -> DataFrame:
@@ -223,7 +229,7 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
 
     windows_back = seen.join(lengths, "key").select("chunk", F.col("key").alias("code"), "logp")
     everything = as_row(known.select("chunk", "word", "n"), 0).unionByName(as_row(windows_back, 1)).unionByName(as_row(rows, 2))
-    everything = everything.repartitionById(n, "chunk").sortWithinPartitions("chunk", "kind")
+    everything = dealt(everything).sortWithinPartitions("chunk", "kind")
     base = float(np.log10(total + kinds + 1.0))
     return everything.mapInArrow(
         _answer(ends, total, base),
