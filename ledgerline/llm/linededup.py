@@ -12,7 +12,7 @@ a line is dropped are kept, as (word, bits), and all other lines stay.
 Nulls and odd rows: a null or empty text is one empty line. A document is a row's
 doc_id and text: equal rows are one document and get the same bitmap; rows of one
 doc_id with different texts are different documents; null is an id like others.
-Extra columns are carried along. An empty table gives an empty table.
+Extra columns are carried along, whatever their names, unless a result has that name. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ascii_lower, row_hash, shuffle_width, stored
+from .common import BLANKS, ascii_lower, fresh, row_hash, shuffle_width, stored
 
 MIN_DOCS, MIN_CHARS = 10, 1
 ID = ["_doc", "_row"]
@@ -63,15 +63,24 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
     return words.groupBy(*ID).agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("bitmap"))
 
 
+RESULTS = ["bitmap", "n_lines", "n_dropped", "kept"]
+
+
 def with_bitmaps(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs with n_lines, n_dropped, bitmap (null: all lines stay) and kept, the text of the lines that stay."""
-    bitmaps = dropped_lines(docs, **how).withColumnsRenamed({"_doc": "_d", "_row": "_r"})
-    named = _named(docs)
-    met = named.join(bitmaps, named["_doc"].eqNullSafe(bitmaps["_d"]) & (named["_row"] == bitmaps["_r"]), "left").drop("_d", "_r", *ID)
-    met = met.withColumns({"_lines": _lines(F.col("text")), "_words": F.map_from_entries("bitmap")})
-    stays = F.expr("filter(_lines, (x, i) -> shiftright(coalesce(try_element_at(_words, cast(i div 64 as int)), 0L), i % 64) & 1L = 0L)")
+    """The rows of docs with n_lines, n_dropped, bitmap (null: all lines stay) and kept, the text of the lines that stay.
+
+    A column of docs with the name of a result is an error.
+    """
+    if clash := {c.lower() for c in docs.columns} & set(RESULTS):
+        raise ValueError(f"columns are named like results: {sorted(clash)}")
+    doc, row, d, r, lines, words = (fresh(x, docs.columns) for x in ("_doc", "_row", "_d", "_r", "_lines", "_words"))
+    bitmaps = dropped_lines(docs.select("doc_id", "text"), **how).withColumnsRenamed({"_doc": d, "_row": r})
+    named = docs.withColumns({doc: F.col("doc_id"), row: row_hash(F.col("doc_id"), F.col("text"))})
+    met = named.join(bitmaps, named[doc].eqNullSafe(bitmaps[d]) & (named[row] == bitmaps[r]), "left").drop(d, r, doc, row)
+    met = met.withColumns({lines: _lines(F.col("text")), words: F.map_from_entries("bitmap")})
+    stays = F.expr(f"filter(`{lines}`, (x, i) -> shiftright(coalesce(try_element_at(`{words}`, cast(i div 64 as int)), 0L), i % 64) & 1L = 0L)")
     return met.withColumns({
-        "n_lines": F.size("_lines").cast("long"),
+        "n_lines": F.size(lines).cast("long"),
         "n_dropped": F.coalesce(F.expr("aggregate(bitmap, 0L, (n, w) -> n + bit_count(w.bits))"), F.lit(0)).cast("long"),
         "kept": F.when(F.col("bitmap").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(stays, "\n")),
-    }).drop("_lines", "_words")
+    }).drop(lines, words)

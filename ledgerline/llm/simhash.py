@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_hash, stored
+from .common import fresh, row_hash, stored
 from .components import components
 
 BITS = 64
@@ -131,6 +131,8 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     groups = near_duplicates(docs, **how)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_hash"))
     kept = groups.groupBy("component").agg(least.alias("kept")).select(F.col("kept.doc_id").alias("_doc"), F.col("kept.row_hash").alias("_row"))
-    named = docs.withColumn("_hash", row_hash(F.col("doc_id").cast("long"), F.col("text")))
-    met = named.join(kept, (named["_hash"] == kept["_row"]) & named["doc_id"].eqNullSafe(kept["_doc"]), "left_semi")
-    return met.dropDuplicates(["_hash", "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name, doc, row = (fresh(x, docs.columns) for x in ("_hash", "_doc", "_row"))
+    kept = kept.withColumnsRenamed({"_doc": doc, "_row": row})
+    named = docs.withColumn(name, row_hash(F.col("doc_id").cast("long"), F.col("text")))
+    met = named.join(kept, (named[name] == kept[row]) & named["doc_id"].eqNullSafe(kept[doc]), "left_semi")
+    return met.dropDuplicates([name, "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])

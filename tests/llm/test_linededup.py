@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from helpers import as_docs, no_docs, odd_docs, some_docs
 from pyspark.sql import functions as F
 
@@ -57,3 +58,17 @@ def test_no_python_runs(spark, sf_small, capsys):
     queries.op5_mixing_weights(spark, sf_small).explain()
     plans = capsys.readouterr().out
     assert "Python" not in plans and "Arrow" not in plans and "CartesianProduct" not in plans
+
+
+def test_clashing_names(spark):
+    docs = odd_docs(spark)
+    names = ("_doc", "_row", "_d", "_r", "_lines", "_words", "__lines", "pos", "h1", "key", "line")
+    more = docs.withColumns({c: F.lit(f"mine {c}") for c in names})
+    got = linededup.with_bitmaps(more, min_docs=2)
+    assert got.columns == [*more.columns, *linededup.RESULTS[:1], *linededup.RESULTS[1:]]
+    plain = linededup.with_bitmaps(docs, min_docs=2).select("doc_id", "n_dropped", "kept").collect()
+    assert sorted(plain, key=repr) == sorted(got.select("doc_id", "n_dropped", "kept").collect(), key=repr)
+    assert all(r[c] == f"mine {c}" for r in got.collect() for c in names)
+    for c in linededup.RESULTS:
+        with pytest.raises(ValueError, match=c):
+            linededup.with_bitmaps(docs.withColumn(c, F.lit(1)))

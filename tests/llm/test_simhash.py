@@ -96,3 +96,14 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(41)} | {x: 100 for x in range(100, 160)} | {500: 500, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_clashing_names(spark):
+    from helpers import odd_docs
+    from pyspark.sql import functions as F
+
+    docs = odd_docs(spark)
+    more = docs.withColumns({c: F.lit(f"mine {c}") for c in ("_hash", "_doc", "_row", "row_hash", "least", "group", "component_id")})
+    got = simhash.one_of_each(more, words=3, radius=3, segments=2, seed=42)
+    assert got.columns == more.columns and all(r["_hash"] == "mine _hash" and r["_row"] == "mine _row" for r in got.collect())
+    assert got.count() == simhash.one_of_each(docs, words=3, radius=3, segments=2, seed=42).count()
