@@ -145,17 +145,24 @@ def resolved(target: Column, base: Column) -> Column:
     return bound(bound(target, lambda t: bound(base, lambda b: whole(t, b))), lambda url: F.when(url.isNotNull(), tidy(url)))
 
 
+def shown(html: Column) -> Column:
+    """html without comments and without what is in scripts and styles; what is not closed goes to the end."""
+    return F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", " ")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(a, b): what a page's html declares to be the same page under another url, as refresh redirect or canonical link; b is absolute."""
-    found = lambda field, what: F.regexp_extract(field, rf"(?is){what}\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    value = r"\s*=\s*[\"']?([^\"'\s>]+)"
     clean = lambda text: F.btrim(decoded(text), F.lit("\"' \t\n\x0c\r"))
-    tag = r"(?is)<(?:link|meta)\b[^>]*>"
+    # An attribute's name has blank space before it: data-href is another one.
+    href = lambda tag: F.regexp_extract(tag, rf"(?is)\shref{value}", 1)
+    content = F.regexp_extract("tag", r"(?is)\scontent\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", 1)
+    pages = pages.where(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", shown(F.col("html")).alias("html"))
     base = F.regexp_extract("html", r"(?is)<base\b[^>]*?\shref\s*=[^>]*>", 0)
-    tags = pages.select("url", base.alias("base"), F.explode(F.regexp_extract_all("html", F.lit(tag), F.lit(0))).alias("tag")).where(
-        F.col("tag").rlike(r"(?i)canonical|refresh"))
-    canonical = F.when(F.col("tag").rlike(r"(?is)rel\s*=\s*[\"']?canonical"), found("tag", "href"))
-    refresh = F.when(F.col("tag").rlike(r"(?is)http-equiv\s*=\s*[\"']?refresh"), found("tag", "url"))
-    written = F.transform(F.array(found("base", "href"), F.coalesce(canonical, refresh)), clean)
+    tags = pages.select("url", base.alias("base"), F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag"))
+    canonical = F.when(F.col("tag").rlike(r"(?is)^<link\b.*?\srel\s*=\s*[\"']?canonical"), href("tag"))
+    refresh = F.when(F.col("tag").rlike(r"(?is)^<meta\b.*?\shttp-equiv\s*=\s*[\"']?refresh"), F.regexp_extract(content, rf"(?is)url{value}", 1))
+    written = F.transform(F.array(href("base"), F.coalesce(canonical, refresh)), clean)
     url = F.col("url")
     target = bound(written, lambda w: resolved(w[1], F.coalesce(resolved(w[0], url), url)))
     return tags.select(url.alias("a"), target.alias("b"))

@@ -149,3 +149,36 @@ def test_relative_links_are_followed(spark):
     pages = spark.createDataFrame([(*r, "n", "h", "a", "c") for r in rows], PAGES)
     got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages).collect()}
     assert {i for i, v in got.items() if v == "allow"} == {11, 12} and len(got) == len(rows)
+
+
+def test_what_is_not_shown_declares_nothing(spark):
+    link = '<link rel="canonical" href="http://bad.net/{}">'.format
+    refresh = '<meta http-equiv="refresh" content="0; url=http://bad.net/{}">'.format
+    hidden = [
+        f"<!-- {link(1)} -->", f"<script>var s = '{refresh(2)}';</script >", '<link rel="canonical" data-href="http://bad.net/3">', f"<STYLE>\n{link(4)}\n</STYLE>",
+        f"<p><!-- not closed {link(5)}", f"<script src=x>{link(6)}", '<link data-rel="canonical" href="http://bad.net/7">', '<meta data-http-equiv="refresh" content="0; url=http://bad.net/8">',
+        '<meta http-equiv="refresh" data-content="0; url=http://bad.net/9">',
+    ]
+    seen = [f"<!-- a -->{link(20)}<!-- b -->", f"<script>x</script>{refresh(21)}<script>y</script>", '<link data-href="http://ok.com/" href="http://bad.net/22" rel=canonical>',
+            "<style></style>" + link(23), "<meta content='0;URL=http://bad.net/24' http-equiv='refresh'>"]
+    rows = [(i, f"http://h{i}.com/", html) for i, html in enumerate(hidden)] + [(100 + i, f"http://s{i}.com/", html) for i, html in enumerate(seen)]
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "allow" if i < 100 else "block" for i, _, _ in rows}
+
+
+def test_registered_sql_follows_links(spark):
+    """The query's DuckDB SQL against the operator where pages do declare links, with chains, hidden tags and long runs of parameters."""
+    import duckdb
+
+    link = '<link rel="canonical" href="{}">'.format
+    refresh = "<meta http-equiv=refresh content='0; url={}'>".format
+    rows = [(i, f"http://c{i}.com/a", link(f"https://c{i + 1}.com/a/")) for i in range(6)] + [
+        (6, "http://c6.com/a", refresh("http://bad.net/")), (7, "http://d.com/", f"<!-- {link('http://bad.net/')} -->"), (8, "http://e.com/", '<link rel=canonical data-href="http://bad.net/">'),
+        (9, "http://f.com/?utm_a=1&utm_b=2&ref=3&gclid=4&fbclid=5&utm_c=6&x=1", ""), (10, "http://f.com/?x=1", link("http://x.net/")), (11, "http://g.org/fr/1", link("http://y.net/")),
+        (12, "http://y.com/", refresh("http://g.org/fr/1")), (13, None, None), (14, "no url", link("http://bad.net/")), (15, "http://h.com/", f"<script>{link('http://bad.net/')}</script>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    db = duckdb.connect()
+    db.register("pages", pages.toArrow())
+    want = db.sql(queries.ORACLES["op10_url_redirect_filter"]).fetchall()
+    got = [tuple(r) for r in urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(got) == sorted(want) and {r[0] for r in got if r[4] == "block"} == {0, 1, 2, 3, 4, 5, 6, 9, 10, 14}
