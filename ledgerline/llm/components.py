@@ -22,7 +22,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     Null ends, loops and repeated links are ignored; a node that occurs only in
     loops is returned as its own component.
     """
-    pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).dropna()
+    # Read three times below, so whatever makes the links is run once.
+    pairs = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).dropna(), "pairs")
     loops = pairs.where("u = v").select("u").distinct()
     now = stored(_star(_both(pairs.where("u <> v")), large=True), "links")
     last = _state(now)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_hash, stored
+from .common import fresh, row_hash, shuffle_width, stored
 from .components import components
 
 BITS = 64
@@ -117,7 +117,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, segments:
     """(doc_id, row_hash, fp, component, component_id) of every row; component_id is the least doc_id reachable over links, component a fingerprint of it."""
     rows = stored(fingerprints(docs, words, seed), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    merged = components(block_links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    # Each fingerprint becomes a row a block, so its few bytes are spread over all tasks first.
+    spread = nodes.select("fp").repartition(shuffle_width(docs.sparkSession))
+    merged = components(block_links(spread, radius)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
     nodes = stored(nodes.join(merged, "fp", "left").withColumn("group", F.coalesce("group", "fp")), "groups")
     between = links(nodes.select("fp", "group"), radius, segments).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
     member = components(between.distinct()).withColumnRenamed("node", "group")
