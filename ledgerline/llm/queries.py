@@ -223,6 +223,62 @@ select doc_id, len(ws)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed
 from texts left join kept using (doc_id)
 """
 
+def _crc32(text: str) -> str:
+    """SQL: the unsigned CRC-32 of a text's UTF-8, byte by byte and bit by bit."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::int, 2))::bigint"
+    step = "case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
+    of_bytes = f"list_prepend(4294967295::bigint, list_transform(range(octet_length(encode({text}))), lambda i: {byte}))"
+    return f"xor(list_reduce({of_bytes}, lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: {step})), 4294967295)"
+
+
+_OP12 = f"""
+with recursive runs as (
+  select said, run, count(*) times
+  from (select coalesce(doc_id::varchar, '') said, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run from documents)
+  group by all),
+hashed as (select run, times, {_crc32("(said || ':' || run)")} h from runs where length(run) >= 5),
+noisy as (select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run) + 2)::int) else run end word, times from hashed),
+words as (select word, sum(times)::bigint n from noisy where length(word) >= 5 group by word having sum(times) >= 3),
+holes as (select word, i, substr(word, 1, i::int) || substr(word, (i + 2)::int) rest from (select word, unnest(range(0, length(word))) i from words)),
+shorter as (select distinct holes.word longer, words.word shorter from holes join words on words.word = rest),
+pairs as (
+  select a.word, b.word other from holes a join holes b using (i, rest) where a.word <> b.word
+  union select longer, shorter from shorter union select shorter, longer from shorter),
+ranked as (
+  select pairs.word, other, o.n other_n, count(*) over (partition by pairs.word) n_near, row_number() over (partition by pairs.word order by o.n desc, other) place
+  from pairs join words o on o.word = other),
+formed as (
+  select words.word, n, coalesce(n_near, 0) n_near, case when other_n >= 2 * n then other end form, case when other_n >= 2 * n then other_n end form_n
+  from words left join (select * from ranked where place = 1) r using (word)),
+chain as (select word, word last_word from formed union all select chain.word, form from chain join formed on formed.word = last_word where form is not null)
+select formed.word, form, last_word root, n, n_near::bigint n_near, form_n
+from formed join chain using (word) where last_word in (select word from formed where form is null)
+"""
+
+_OP13 = f"""
+with turns as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations),
+own as (select conv_id, list({{'r': r, 't': t}} order by turn nulls first, r, md5(t)) l from turns group by conv_id),
+hashed as (select conv_id, l, {_crc32("coalesce(conv_id::varchar, '')")} % 4 h from own),
+built as (select c.conv_id, list_concat(coalesce(b.l, [])[1:c.h], c.l[c.h + 1:]) l from hashed c left join own b on b.conv_id = c.conv_id - c.conv_id % 20),
+members as (
+  select conv_id, d, md5(to_json(l[1:d])::varchar) node, case when d > 0 then md5(to_json(l[1:d - 1])::varchar) end up, d = len(l) ends,
+    case when d > 0 then len(regexp_extract_all(l[d].t, '[^\\x20\\x09-\\x0D]+')) else 0 end words
+  from (select conv_id, l, unnest(range(0, len(l) + 1)) d from built)),
+nodes as (
+  select d, node, any_value(up) up, min(conv_id) conv_id, count(*) n_convs, any_value(words) words,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) ends_sha256
+  from members group by d, node),
+kids as (select d - 1 d, up node, count(*) n_children from nodes where d > 0 group by 1, 2),
+full_nodes as (select nodes.*, coalesce(n_children, 0) n_children from nodes left join kids using (d, node)),
+below as (select distinct a.d, a.node, b.d d2, b.node node2 from members a join members b on a.conv_id is not distinct from b.conv_id and b.d >= a.d),
+sums as (
+  select below.d, below.node, count(*) filter (n_children = 0) n_leaves, sum((n_convs - 1) * words) saved_tokens
+  from below join full_nodes v on v.d = d2 and v.node = node2 group by 1, 2)
+select f.conv_id, f.d depth, p.conv_id parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens::bigint saved_tokens, f.ends_sha256
+from full_nodes f join sums using (d, node) left join nodes p on p.d = f.d - 1 and p.node = f.up
+"""
+
 #: Where SQL can express an operator. op10's follows links that are written as absolute urls; relative ones, entities and dot segments
 #: occur in none of the given tables and are held against the tests' own search.
-ORACLES = {"op1_arc_to_warc": _OP1, "op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10, "op11_super_kmers": _OP11}
+ORACLES = {"op1_arc_to_warc": _OP1, "op5_mixing_weights": _OP5, "op6_line_dedup": _OP6, "op10_url_redirect_filter": _OP10, "op11_super_kmers": _OP11,
+           "op12_spelling_variants": _OP12, "op13_prefix_trie": _OP13}
