@@ -124,10 +124,12 @@ def violations(model: DataFrame, audit: Audit | str) -> DataFrame:
     return model.where(a.predicate())
 
 
+def count_columns(audits) -> list[Column]:
+    """One bigint aggregate per audit: number of violating rows."""
+    return [F.coalesce(F.sum(F.when(a.predicate(), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint").alias(a.name)
+            for a in audits]
+
+
 def audit_counts(model: DataFrame, audits) -> DataFrame:
     """One row, one bigint column per audit: number of violating rows (single scan)."""
-    return model.agg(*[
-        F.coalesce(F.sum(F.when(a.predicate(), F.lit(1)).otherwise(F.lit(0))), F.lit(0))
-        .cast("bigint").alias(a.name)
-        for a in audits
-    ])
+    return model.agg(*count_columns(audits))
