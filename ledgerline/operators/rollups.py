@@ -36,45 +36,59 @@ def with_month(df: DataFrame, ts: str = "event_time") -> DataFrame:
     return df.withColumn("year", year_of(ts)).withColumn("month", month_of(ts))
 
 
-# Measures per feed, shared by the monthly and per-timestamp roll-ups and by
-# the stacked customer summary (where other feeds' rows are NULL and ignored).
+# Measures per feed, shared by the monthly and per-timestamp roll-ups, by the stacked
+# customer summary (where other feeds' rows are NULL and ignored) and by the mergeable
+# partials: (aggregate, input, output).
+MEASURES = {
+    "subscription": [
+        ("decimal_mean", "growth_rate", "avg_growth_rate"),
+        ("sum", "annualized_revenue", "total_annualized_revenue"),
+        ("decimal_mean", "customer_growth_rate", "avg_customer_growth_rate"),
+    ],
+    "revenue": [
+        ("sum", "payment_amount", "total_payment_amount"),
+        ("integer_mean", "revenue_stability_score", "avg_revenue_stability_score"),
+        ("sum", "advance_amount", "total_advance_amount"),
+        ("decimal_mean", "revenue_volatility", "avg_revenue_volatility"),
+    ],
+    "churn": [
+        ("decimal_mean", "churn_risk", "avg_churn_risk"),
+        ("integer_mean", "customer_tenure_days", "avg_customer_tenure"),
+        ("integer_mean", "last_activity_gap_days", "avg_last_activity_gap"),
+        ("sum", "support_ticket_count", "total_support_ticket_count"),
+        ("decimal_mean", "usage_drop_percentage", "avg_usage_drop_percentage"),
+        ("integer_mean", "satisfaction_score", "avg_satisfaction_score"),
+    ],
+    "engagement": [
+        ("integer_mean", "engagement_score", "avg_engagement_score"),
+        ("decimal_mean", "session_duration", "avg_session_duration"),
+        ("sum", "login_count", "total_login_count"),
+        ("sum", "financing_inquiries", "total_financing_inquiries"),
+        ("sum", "feature_interaction_count", "total_feature_interaction_count"),
+        ("sum", "capital_access_count", "total_capital_access_count"),
+    ],
+}
+AGGREGATES = {"sum": F.sum, "decimal_mean": decimal_mean, "integer_mean": integer_mean}
+
+
+def measures(feed: str) -> list:
+    return [AGGREGATES[kind](column).alias(out) for kind, column, out in MEASURES[feed]]
+
+
 def sub_measures() -> list:
-    return [
-        decimal_mean("growth_rate").alias("avg_growth_rate"),
-        F.sum("annualized_revenue").alias("total_annualized_revenue"),
-        decimal_mean("customer_growth_rate").alias("avg_customer_growth_rate"),
-    ]
+    return measures("subscription")
 
 
 def rev_measures() -> list:
-    return [
-        F.sum("payment_amount").alias("total_payment_amount"),
-        integer_mean("revenue_stability_score").alias("avg_revenue_stability_score"),
-        F.sum("advance_amount").alias("total_advance_amount"),
-        decimal_mean("revenue_volatility").alias("avg_revenue_volatility"),
-    ]
+    return measures("revenue")
 
 
 def churn_measures() -> list:
-    return [
-        decimal_mean("churn_risk").alias("avg_churn_risk"),
-        integer_mean("customer_tenure_days").alias("avg_customer_tenure"),
-        integer_mean("last_activity_gap_days").alias("avg_last_activity_gap"),
-        F.sum("support_ticket_count").alias("total_support_ticket_count"),
-        decimal_mean("usage_drop_percentage").alias("avg_usage_drop_percentage"),
-        integer_mean("satisfaction_score").alias("avg_satisfaction_score"),
-    ]
+    return measures("churn")
 
 
 def engage_measures() -> list:
-    return [
-        integer_mean("engagement_score").alias("avg_engagement_score"),
-        decimal_mean("session_duration").alias("avg_session_duration"),
-        F.sum("login_count").alias("total_login_count"),
-        F.sum("financing_inquiries").alias("total_financing_inquiries"),
-        F.sum("feature_interaction_count").alias("total_feature_interaction_count"),
-        F.sum("capital_access_count").alias("total_capital_access_count"),
-    ]
+    return measures("engagement")
 
 
 SUB_COLUMNS = SUB_PICKS + ["avg_growth_rate", "total_annualized_revenue", "avg_customer_growth_rate"]

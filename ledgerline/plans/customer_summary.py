@@ -120,6 +120,13 @@ def _stacked(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
 
 def _grid(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
           users: DataFrame | None = None) -> DataFrame:
+    if users is not None:
+        raise ValueError("the grid form takes its users from the feeds")
+    engaged = rollups.agg_engage(feeds["engagement"])
+    return _grid_of(_picked(feeds).join(engaged, MONTH_KEYS, "full"), start, end)
+
+
+def _grid_of(rows: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Month rows of a user, in order, each followed by the empty months up to the next.
 
     A user has at most one row a month here, so a window over a user is bounded
@@ -128,12 +135,8 @@ def _grid(feeds: dict[str, DataFrame], start: dt.date, end: dt.date,
     first of them emits the whole empty grid. Events without a user make a grid
     of empty months, as the model's joins on user_id do.
     """
-    if users is not None:
-        raise ValueError("the grid form takes its users from the feeds")
     months = timefns.month_rows(start, end)
     n = (end.year - start.year) * 12 + end.month - start.month + 1
-    engaged = rollups.agg_engage(feeds["engagement"])
-    rows = _picked(feeds).join(engaged, MONTH_KEYS, "full")
     place = (F.col("year") - start.year) * 12 + F.col("month") - start.month
     rows = rows.withColumn("_at", F.when(place.between(0, n - 1), place).otherwise(n))
     in_order = Window.partitionBy("user_id").orderBy("_at")
@@ -171,6 +174,16 @@ def customer_summary(
     return out.orderBy(*SORT_KEYS) if sort else out
 
 
+def summary_of_rollups(monthly: DataFrame, spine_start: dt.date, spine_end: dt.date) -> DataFrame:
+    """The model from month rows that hold all feeds' roll-up columns, one a user and month (NULL where a feed has none)."""
+    return _fill(_grid_of(monthly, spine_start, spine_end))
+
+
+def months_of_rollups(monthly: DataFrame, users: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The model's rows of some months, for the given users."""
+    return _fill(spine.calendar(users, first, last).join(monthly, MONTH_KEYS, "left"))
+
+
 def customer_month_slice(
     subscription: DataFrame,
     spine_start: dt.date = timefns.DEFAULT_SPINE_START,

@@ -39,6 +39,11 @@ def subscription_revenue_summary(feeds: dict[str, DataFrame]) -> DataFrame:
     sub_ts = rollups.sub_by_timestamp(dealt["subscription"])
     rev_ts = rollups.rev_by_timestamp(dealt["revenue"])
 
+    return summary_of_times(sub_ts, rev_ts)
+
+
+def summary_of_times(sub_ts: DataFrame, rev_ts: DataFrame) -> DataFrame:
+    """The model from per-timestamp roll-ups; of a month's subscription and a day's revenue timestamps the earliest counts."""
     sub_month = (
         sub_ts.groupBy("user_id", "year", "month")
         .agg(pick_struct(SUB_VALUES, ["event_time"]).alias("_s"))

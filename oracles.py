@@ -534,6 +534,8 @@ FROM (SELECT * FROM {feed} WHERE {kept})"""
     q["restate_revenue_months"] = _with(srs_cte(), "SELECT * FROM subscription_revenue_summary")
     q["rebuild_revenue"] = q["restate_revenue_months"]
     q["restate_one_commit"] = q["restate_revenue_months"]
+    q["incremental_customer_summary"] = q["restate_month"]
+    q["incremental_revenue_summary"] = q["restate_revenue_months"]
     q["derived_subscription"] = _with(f, f"""SELECT subscription_id,
   CAST(round(CAST(subscription_amount AS DECIMAL(18,2)) * 12, 2) AS DECIMAL(38,9)) AS annualized,
   {_season('extract(month FROM event_time)')} AS season,
