@@ -336,6 +336,30 @@ def q_ingest_compacted(spark, sf_dir):
     return raw.read_raw_feed(spark, feed.name, name)
 
 
+@query("ingest_replays_refused")
+def q_replays_refused(spark, sf_dir):
+    """The revenue topic, some messages without user: four fifths ingested, then the whole topic again twice over; each message is stored
+    once. Returns rows, content digest and rejects of the table, and the rows that came with the second batch."""
+    root = work_dir(spark, "ingest")
+    feed = schemas.REVENUE
+    key = _digest(F.col(feed.pk))
+    rows = feedmod.revenue_feed(spark, sf_dir).withColumn("user_id", F.when(key % 101 != 1, F.col("user_id")))
+    names = {feed.topic: f"{feed.table}_{root.rsplit('-', 1)[1]}"}
+    for part in (rows.where(key % 5 != 0), rows.unionByName(rows)):
+        publish.publish_files(part, feed, f"{root}/landing")
+        source = stream_ingest.file_source(spark, f"{root}/landing")
+        paths = stream_ingest.run_ingest({feed.topic: source}, root, table_names=names, refuse_replays=True)[feed.topic]
+    stored = stream_ingest.read_all(spark, paths, feed)
+    valid = F.col("kind") == "valid"
+    digest = _digest(F.concat_ws("|", feed.pk, "user_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+    return stored.agg(
+        F.count(F.when(valid, 1)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(valid, digest)), F.lit(0)).alias("digest"),
+        F.count(F.when(~valid, 1)).alias("n_rejects"),
+        F.count(F.when(valid & (F.col("batch") > 0), 1)).alias("n_late"),
+    ).select(F.lit(feed.table).alias("table_name"), "*")
+
+
 MISSING_MONTH, STRAY_MONTH = "1998-06", "2003-01"
 JUNE_98, JAN_03 = dt.date(1998, 6, 1), dt.date(2003, 1, 1)
 M1_COLUMNS = ["user_id", "year", "month", "month_year"] + [c for c, _ in OUTPUT_COLUMNS]

@@ -528,6 +528,10 @@ FROM (SELECT * FROM {feed} WHERE {kept})"""
         for feed, pk, table, kept in (
             ("sub", "subscription_id", "raw_subscription_events", "true"), ("rev", "revenue_id", "raw_revenue_events", "true"),
             ("churn", "churn_event_id", "raw_churn_events", "false"), ("eng", "engagement_id", "raw_customer_engagement_events", "false"))))
+    q["ingest_replays_refused"] = _with(f, f"""SELECT 'raw_revenue_events' AS table_name, count(*) FILTER (ok) AS n_rows,
+  CAST(coalesce(sum({_digest("concat_ws('|', revenue_id, user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S'))")}) FILTER (ok), 0) AS BIGINT) AS digest,
+  count(*) FILTER (NOT ok) AS n_rejects, count(*) FILTER (ok AND late) AS n_late
+FROM (SELECT *, {_digest("revenue_id")} % 101 <> 1 AS ok, {_digest("revenue_id")} % 5 = 0 AS late FROM rev)""")
     q["ingest_compacted"] = _with(f, "SELECT * FROM eng")
     q["restate_month"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
     q["restate_new_users"] = q["restate_month"]
