@@ -22,10 +22,10 @@ from ledgerline.functions import derive, timefns
 from ledgerline.operators import audits, dedup, lookups, rollups, spine
 from ledgerline.plans import faults, materialize, partials
 from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_month_slice, customer_summary
-from ledgerline.plans.subscription_revenue import OUTPUT_ORDER, subscription_revenue_summary
+from ledgerline.plans.subscription_revenue import OUTPUT_ORDER, subscription_revenue_summary, summary_of_buckets
 from ledgerline.session import ensure_utc, work_dir
 from ledgerline.sources import feeds as feedmod
-from ledgerline.sources import compaction, json_events, raw, schemas
+from ledgerline.sources import bucketed, compaction, json_events, raw, schemas
 from ledgerline.streaming import ingest as stream_ingest
 from ledgerline.streaming import publish
 
@@ -464,6 +464,24 @@ def q_incremental_revenue(spark, sf_dir):
     return materialize.store_at(spark, f"{out}/subscription_revenue_summary", versioned=True).read().select(*OUTPUT_ORDER)
 
 
+@query("revenue_summary_bucketed")
+def q_revenue_bucketed(spark, sf_dir):
+    """M2 from feeds stored in buckets of user and month: scans, roll-ups and join without a shuffle."""
+    root = work_dir(spark, "buckets")
+    for name, rows in _feeds(spark, sf_dir, names=M2_FEEDS).items():
+        bucketed.store(rows, schemas.FEEDS[name], root)
+    return summary_of_buckets({name: bucketed.read(spark, schemas.FEEDS[name], root) for name in M2_FEEDS})
+
+
+@query("customer_summary_bucketed")
+def q_customer_bucketed(spark, sf_dir):
+    """M1 from the four feeds stored so: the roll-ups read whole groups and shuffle nothing but their results."""
+    root = work_dir(spark, "buckets")
+    for name, rows in _feeds(spark, sf_dir).items():
+        bucketed.store(rows, schemas.FEEDS[name], root)
+    return customer_summary(bucketed.read_all(spark, root), *DATA_SPINE)
+
+
 # --- derived-column rules, lookups -------------------------------------------------
 
 @query("derived_subscription")

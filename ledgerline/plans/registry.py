@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from ledgerline.operators import audits
 from ledgerline.plans import materialize
 from ledgerline.plans.customer_summary import customer_summary
-from ledgerline.plans.subscription_revenue import subscription_revenue_summary
+from ledgerline.plans.subscription_revenue import subscription_revenue_summary, summary_of_buckets
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,7 @@ class Model:
     keys: tuple
     kind: str = "FULL"
     audits: list = field(default_factory=list)
+    of_buckets: Callable[[dict[str, DataFrame]], DataFrame] | None = None  # from feeds stored in buckets; None: as ``build``
 
 
 MODELS: dict[str, Model] = {
@@ -35,14 +36,14 @@ MODELS: dict[str, Model] = {
         ("user_id", "year", "month"), audits=audits.CUSTOMER_AUDITS + audits.CUSTOMER_GAP_AWARE_AUDITS),
     "subscription_revenue_summary": Model(
         "subscription_revenue_summary", subscription_revenue_summary,
-        ("user_id", "event_date"), audits=audits.REVENUE_AUDITS),
+        ("user_id", "event_date"), audits=audits.REVENUE_AUDITS, of_buckets=summary_of_buckets),
 }
 
 
-def build(feeds: dict[str, DataFrame], out_root: str, names=None, versioned: bool = False) -> dict[str, DataFrame]:
+def build(feeds: dict[str, DataFrame], out_root: str, names=None, versioned: bool = False, bucketed: bool = False) -> dict[str, DataFrame]:
     """Materialize models under ``out_root/<name>`` and audit the written tables.
 
-    ``versioned``: each as a new version of its table, in one commit.
+    ``versioned``: each as a new version of its table, in one commit. ``bucketed``: the feeds come from ``sources.bucketed``.
     Returns name -> one-row DataFrame of violation counts per attached audit,
     observed by the job that writes the table; the table is not read again.
     """
@@ -50,7 +51,7 @@ def build(feeds: dict[str, DataFrame], out_root: str, names=None, versioned: boo
     for name in names or MODELS:
         model = MODELS[name]
         path = f"{out_root.rstrip('/')}/{name}"
-        df = model.build(feeds)
+        df = (bucketed and model.of_buckets or model.build)(feeds)
         spark, seen = df.sparkSession, Observation()
         counts = audits.count_columns(model.audits)
         store = materialize.store_at(spark, path, versioned)

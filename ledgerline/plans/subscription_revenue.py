@@ -42,6 +42,11 @@ def subscription_revenue_summary(feeds: dict[str, DataFrame]) -> DataFrame:
     return summary_of_times(sub_ts, rev_ts)
 
 
+def summary_of_buckets(feeds: dict[str, DataFrame]) -> DataFrame:
+    """The model from feeds stored in buckets (``sources.bucketed``): no shuffle at all, from scan to join."""
+    return summary_of_times(rollups.sub_by_timestamp(feeds["subscription"]), rollups.rev_by_timestamp(feeds["revenue"]))
+
+
 def summary_of_times(sub_ts: DataFrame, rev_ts: DataFrame) -> DataFrame:
     """The model from per-timestamp roll-ups; of a month's subscription and a day's revenue timestamps the earliest counts."""
     sub_month = (

@@ -384,6 +384,7 @@ def build() -> dict[str, str]:
     q["customer_summary"] = _with(summary_cte(DATA_SPINE), "SELECT * FROM customer_summary")
     q["customer_summary_stacked"] = q["customer_summary"]
     q["customer_summary_star"] = q["customer_summary"]
+    q["customer_summary_bucketed"] = q["customer_summary"]
     q["customer_summary_reference_spine"] = _with(summary_cte(REF_SPINE), "SELECT * FROM customer_summary")
     q["summary_sorted"] = _with(
         summary_cte(DATA_SPINE),
@@ -401,6 +402,7 @@ def build() -> dict[str, str]:
         + ", ".join(f"coalesce({c}, {fill}) AS {c}" for c, fill in FILLED_COLUMNS[:6])
         + " FROM calendar LEFT JOIN agg_sub USING (user_id, year, month)")
     q["subscription_revenue_summary"] = _with(srs_cte(), "SELECT * FROM subscription_revenue_summary")
+    q["revenue_summary_bucketed"] = q["subscription_revenue_summary"]
     q["distinct_users"] = _with(",".join([feeds_cte(), users_cte()]), "SELECT * FROM distinct_users")
     q["month_spine"] = _with(",".join([feeds_cte(), users_cte(), calendar_cte(REF_SPINE)]),
                              "SELECT * FROM calendar")
