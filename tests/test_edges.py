@@ -7,6 +7,8 @@ from fixtures import CHURN_A, ENG_A, REV_A, SUB_A, feeds, with_
 from pyspark.sql import functions as F
 
 from ledgerline.operators import audits, dedup
+from ledgerline.plans import faults
+from ledgerline.plans.catalog import QUERIES
 from ledgerline.plans.customer_summary import customer_summary
 from ledgerline.plans.subscription_revenue import subscription_revenue_summary
 from ledgerline.sources import json_events, schemas
@@ -155,3 +157,22 @@ def test_e14_empty_feed(spark):
     assert customer_summary(f).count() == 84
     assert customer_summary(feeds(spark)).count() == 0
     assert subscription_revenue_summary(f).count() == 0
+
+
+def test_absent_events_stand_beside_all_others(spark):
+    """Dropping absent events loses none that is there, whatever its line number."""
+    revs = [with_(REV_A, revenue_id=f"7-{line}-1-1") for line in range(1, 10)] + [with_(REV_A, revenue_id="lone")]
+    rows = faults.some_absent(feeds(spark, [SUB_A], revs)["revenue"]).collect()
+    assert sum(r.event is None for r in rows) == 2
+    assert sorted(r.event.revenue_id for r in rows if r.event) == sorted(r["revenue_id"] for r in revs)
+
+
+def test_derived_revenue_has_every_event(spark, tmp_path):
+    orders = spark.createDataFrame([(1, 5), (2, 6)], "o_orderkey long, o_custkey long")
+    lines = spark.sql("""SELECT o AS l_orderkey, o AS l_partkey, o AS l_suppkey, CAST(n AS int) AS l_linenumber, 1.0D AS l_quantity,
+        10.0D AS l_extendedprice, 0.1D AS l_discount, 0.02D AS l_tax, 'R' AS l_returnflag, 'F' AS l_linestatus,
+        TIMESTAMP '1998-06-01' AS l_shipdate FROM (SELECT explode(array(1L, 2L)) AS o), (SELECT explode(sequence(1, 9)) AS n)""")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    ids = [r.revenue_id for r in QUERIES["derived_revenue"](spark, str(tmp_path)).collect()]
+    assert sorted(ids) == sorted(f"{o}-{n}-{o}-{o}" for o in (1, 2) for n in range(1, 10))
