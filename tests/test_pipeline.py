@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from fixtures import CHURN_A
 from pyspark.sql import functions as F
 
 from ledgerline.plans import faults, materialize
@@ -10,6 +11,7 @@ from ledgerline.plans.customer_summary import customer_summary
 from ledgerline.session import work_dir
 from ledgerline.sources import json_events, schemas
 from ledgerline.sources.feeds import churn_feed, load_feeds
+from ledgerline.sources.inline import feed_from_rows
 from ledgerline.streaming import ingest
 
 
@@ -206,3 +208,22 @@ def test_command_line_ingest_build_restate_audit(spark, sf_small):
     assert main(["publish", "--raw-root", f"{root}/raw", "--landing", f"{root}/again", "--feed", "churn"], spark=spark) == {"churn": "churn"}
     sent = lambda where: spark.read.text(f"{root}/{where}/churn")
     assert sent("again").exceptAll(sent("landing")).count() == 0
+
+
+def test_landing_files_are_compressed_and_bounded(spark, monkeypatch):
+    """Published messages take a fraction of their text on disk, in several files, and are all ingested."""
+    from ledgerline.session import _place
+    from ledgerline.streaming import publish
+
+    monkeypatch.setattr(publish, "FILE_MESSAGES", 1000)
+    root = work_dir(spark, "test-landing")
+    n, feed = 4000, schemas.CHURN
+    src = feed_from_rows(spark, feed, [CHURN_A]).drop("churn_event_id").crossJoin(spark.range(n).selectExpr("cast(id as string) as churn_event_id"))
+    publish.publish_files(src.select(*feed.columns).coalesce(1), feed, f"{root}/landing")
+    place, files = _place(spark, f"{root}/landing")
+    sent = spark.read.text(f"{root}/landing")
+    assert files.getContentSummary(place).getLength() * 5 < sent.agg(F.sum(F.length("value"))).first()[0]
+    assert sent.select(F.input_file_name()).distinct().count() == 4
+    paths = ingest.run_ingest({feed.topic: ingest.file_source(spark, f"{root}/landing")}, root, table_names={feed.topic: "raw_landing_t"})
+    stored = ingest.read_raw_table(spark, paths[feed.topic], feed)
+    assert stored.count() == n and stored.exceptAll(src.select(*stored.columns)).isEmpty()
