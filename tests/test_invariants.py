@@ -3,12 +3,14 @@
 import datetime as dt
 from decimal import Decimal
 
+from fixtures import CHURN_A, ENG_A, REV_A, SUB_A, feeds, with_
 from pyspark.sql import functions as F
 
 from ledgerline.operators import spine
-from ledgerline.plans import faults
+from ledgerline.plans import faults, materialize
 from ledgerline.plans.catalog import DATA_SPINE
-from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, customer_summary
+from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, SORT_KEYS, customer_summary, filled, unfilled_summary
+from ledgerline.session import work_dir
 from ledgerline.sources.feeds import load_feeds
 
 
@@ -45,3 +47,58 @@ def test_month_sums_equal_raw_sums_inside_spine(spark, sf_small):
     raw_l = f["engagement"].agg(F.sum("login_count")).first()[0]
     assert got.p == raw_p and got.l == raw_l
     assert isinstance(got.p, Decimal)
+
+
+SHORT_SPINE = dt.date(2023, 11, 1), dt.date(2024, 6, 1)
+
+
+def _few(spark):
+    """Users with events in, before and after the spine, and only outside it; events of no user."""
+    subs = [with_(SUB_A, subscription_id=f"s{i}", user_id=u, event_time=f"{at}T00:00:00")
+            for i, (u, at) in enumerate([("b", "2024-01-03"), ("b", "2023-01-03"), ("a", "2024-06-30"), ("c", "2022-05-05"), ("c", "2025-05-05")])]
+    f = feeds(spark, subs, [with_(REV_A, revenue_id="r", user_id="b", event_time="2024-03-02T00:00:00")], [CHURN_A], [ENG_A])
+    f["subscription"] = f["subscription"].withColumn("user_id", F.when(F.col("subscription_id") != "s2", F.col("user_id")))
+    return f
+
+
+def _exchange_below_grid(plan, exchange):
+    """Whether each such shuffle lies below (in the text: after) the step that makes the grid."""
+    plan = plan.split("Initial Plan")[0]
+    return 0 <= plan.find("Generate explode(sequence(") < plan.find(exchange)
+
+
+def test_sorted_summary_deals_month_rows_not_the_grid(spark):
+    f = _few(spark)
+    ordered = customer_summary(f, *SHORT_SPINE, sort=True)
+    assert _exchange_below_grid(ordered._jdf.queryExecution().executedPlan().toString(), "Exchange rangepartitioning")
+    rows = ordered.withColumn("_at", F.monotonically_increasing_id()).orderBy("_at").drop("_at").collect()
+    assert rows == customer_summary(f, *SHORT_SPINE, form="star", sort=True).collect()
+    assert [tuple(r[k] or "" for k in SORT_KEYS) for r in rows] == sorted(tuple(r[k] or "" for k in SORT_KEYS) for r in rows)
+
+
+def test_summary_is_written_from_narrow_rows(spark):
+    f = _few(spark)
+    narrow, whole = unfilled_summary(f, *SHORT_SPINE), customer_summary(f, *SHORT_SPINE)
+    assert len(narrow.columns) == 5 and filled(narrow).schema.names == whole.columns
+    path = work_dir(spark, "test-narrow")
+    materialize.write_model(narrow, path, finish=filled)
+    stored = spark.read.parquet(path).select(*whole.columns)
+    assert stored.dtypes == whole.dtypes and sorted(map(str, stored.collect())) == sorted(map(str, whole.collect()))
+    lines = materialize._clustered(narrow, materialize.PARTITION_COLUMNS, ("user_id",), finish=filled)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    below = next(i for i, line in enumerate(lines) if "RebalancePartitions" in line)
+    assert any("coalesce(_values" in line for line in lines[:below]) and not any("N/A" in line for line in lines[below:])
+
+
+def test_numbering_leaves_rows_where_they_are(spark):
+    from ledgerline.plans.catalog import _numbered
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are not small
+    try:
+        ordered = customer_summary(_few(spark), *SHORT_SPINE, sort=True)
+        numbered = _numbered(ordered)
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+        rows = numbered.orderBy("row_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [r.row_no for r in rows] == list(range(1, 1 + ordered.count()))
+    assert [tuple(r[k] or "" for k in SORT_KEYS) for r in rows] == sorted(tuple(r[k] or "" for k in SORT_KEYS) for r in rows)
