@@ -6,7 +6,7 @@ from decimal import Decimal
 from fixtures import CHURN_A, ENG_A, REV_A, SUB_A, feeds, with_
 from pyspark.sql import functions as F
 
-from ledgerline.operators import spine
+from ledgerline.operators import audits, spine
 from ledgerline.plans import faults, materialize
 from ledgerline.plans.catalog import DATA_SPINE
 from ledgerline.plans.customer_summary import OUTPUT_COLUMNS, SORT_KEYS, customer_summary, filled, unfilled_summary
@@ -102,3 +102,30 @@ def test_numbering_leaves_rows_where_they_are(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [r.row_no for r in rows] == list(range(1, 1 + ordered.count()))
     assert [tuple(r[k] or "" for k in SORT_KEYS) for r in rows] == sorted(tuple(r[k] or "" for k in SORT_KEYS) for r in rows)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_empty_months_are_made_beside_the_months_with_events(spark):
+    plan = _optimized(customer_summary(_few(spark), *SHORT_SPINE))
+    narrow = plan[plan.index("Window ["):]
+    assert plan.index("Union") < plan.index("Window [") and "min(struct" not in narrow  # what is put in order by user holds no roll-up
+
+
+def test_audits_of_months_with_events_make_no_others(spark, sf_small):
+    m1 = customer_summary(faults.with_violations(load_feeds(spark, sf_small)), *DATA_SPINE)
+    for name in ("churn_risk_within_range", "engagement_score_range", "allowed_repayment_and_trend_skip_gaps"):
+        found = audits.violations(m1, name)
+        assert "Generate explode(sequence(" not in _optimized(found) and not found.isEmpty()
+    assert "Generate explode(sequence(" in _optimized(audits.violations(m1, "allowed_repayment_and_trend"))
+
+
+def test_events_with_picks_are_sorted_once(spark, sf_small):
+    from ledgerline.plans.customer_summary import _rolled_up
+
+    f = load_feeds(spark, sf_small)
+    for part in _rolled_up(f)[:2]:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and plan.index("SortAggregate") < plan.rindex("SortAggregate") < plan.index("Exchange")
