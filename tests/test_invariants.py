@@ -129,3 +129,14 @@ def test_events_with_picks_are_sorted_once(spark, sf_small):
     for part in _rolled_up(f)[:2]:
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "REPARTITION_BY_NUM" in plan and plan.index("SortAggregate") < plan.rindex("SortAggregate") < plan.index("Exchange")
+
+
+def test_older_version_reads_a_feed_once(spark):
+    f = _few(spark)
+    f["revenue"] = f["revenue"].unionByName(f["revenue"].withColumn("event_time", F.lit(None).cast("timestamp")))
+    for name, rows in faults.another_version(f, "2024-01", "2003-01").items():
+        assert "Union" not in _optimized(rows) or name == "revenue" and _optimized(rows).count("Union") == 1
+        assert rows.where("event_time is null or event_time between '2024-01-01' and '2024-01-31 23:59:59'").isEmpty()
+    old = faults.another_version(f, "2024-01", "2003-01")["subscription"]
+    assert sorted(str(r.event_time) for r in old.select("event_time").collect()) == [
+        "2003-01-03 00:00:00", "2022-05-05 00:00:00", "2023-01-03 00:00:00", "2024-06-30 00:00:00", "2025-05-05 00:00:00"]
