@@ -181,3 +181,16 @@ def test_build_counts_violations_while_writing(spark, sf_small, versioned):
     assert counts == audits.audit_counts(stored, registry.MODELS[name].audits).first() and sum(counts) > 0
     none = {k: v.limit(0) for k, v in feeds.items()}
     assert sum(registry.build(none, f"{out}/none", names=[name], versioned=versioned)[name].first()) == 0
+
+
+@pytest.mark.parametrize("name", list(partials.TIME_PICKS))
+def test_events_are_dealt_once(spark, name):
+    """Month rows and earliest timestamps come from one shuffle of events, a merge from one of partials, the model from one a feed."""
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    feed = schemas.FEEDS[name]
+    part = partials.of_events(feed_from_rows(spark, feed, _events(feed, 30, 3)), feed)
+    assert shuffles(part) == 1
+    path = work_dir(spark, "test-partials")
+    part.write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert shuffles(partials.merged(stored, stored, feed)) == 1
