@@ -6,6 +6,7 @@ from decimal import Decimal
 from fixtures import CHURN_A, ENG_A, REV_A, SUB_A, feeds, with_
 from pyspark.sql import functions as F
 
+from ledgerline.functions import timefns
 from ledgerline.operators import audits, dedup
 from ledgerline.plans import faults
 from ledgerline.plans.catalog import QUERIES
@@ -176,3 +177,19 @@ def test_derived_revenue_has_every_event(spark, tmp_path):
     lines.write.parquet(f"{tmp_path}/lineitem.parquet")
     ids = [r.revenue_id for r in QUERIES["derived_revenue"](spark, str(tmp_path)).collect()]
     assert sorted(ids) == sorted(f"{o}-{n}-{o}-{o}" for o in (1, 2) for n in range(1, 10))
+
+
+def test_time_texts_are_matched_once(spark):
+    """Filters on decoded times don't match and cast their texts again."""
+    raw = spark.createDataFrame([("{}",)], "value string")
+    valid, rejects = json_events.split_valid(json_events.decode_events(raw, schemas.REVENUE), schemas.REVENUE)
+    for rows in (valid, rejects):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("RLIKE(") == plan.count("try_cast(") == 2  # event_time and due_date
+
+
+def test_wire_text_of_fractions(spark):
+    """A fraction is written only where there is one, before 1970 as well."""
+    times = ["2024-01-01 00:00:00", "2024-01-01 00:00:00.5", "1969-12-31 23:59:59.999999", "1960-01-01 00:00:00", None]
+    got = spark.createDataFrame([(t,) for t in times], "t string").select(timefns.to_wire_text(F.col("t").cast("timestamp")))
+    assert [r[0] for r in got.collect()] == ["2024-01-01T00:00:00 UTC", "2024-01-01T00:00:00.500000 UTC", "1969-12-31T23:59:59.999999 UTC", "1960-01-01T00:00:00 UTC", None]
