@@ -93,7 +93,9 @@ def links(nodes: DataFrame, radius: int = 3, segments: int = 2) -> DataFrame:
 
     With a column ``group``, only pairs of different groups. With two segments of
     32 bits, a ball has 33 values, and chance agreements are one in 4 billion:
-    lookups grow as the number of fingerprints.
+    lookups grow as the number of fingerprints. They are joined by a merge, never
+    broadcast: Spark counts an exploded row once, so lookups 33 times as many as the
+    nodes would go to the driver whenever the nodes' file is under the threshold.
     """
     width = BITS // segments
     low = (1 << width) - 1
@@ -108,7 +110,7 @@ def links(nodes: DataFrame, radius: int = 3, segments: int = 2) -> DataFrame:
         looks = looks.select("a", "group_a", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
         other = (F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b"))
-        got = looks.join(table, (looks["value"] == table["value"]) & other & near).select("a", "b", "group_a", "group_b")
+        got = looks.hint("merge").join(table, (looks["value"] == table["value"]) & other & near).select("a", "b", "group_a", "group_b")
         found = got if found is None else found.unionByName(got)
     return found
 

@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from helpers import no_docs, odd_docs, some_docs
+from pyspark.sql import functions as F
 
 from ledgerline.llm import queries, simhash
 from ledgerline.llm.components import components
@@ -107,3 +108,12 @@ def test_clashing_names(spark):
     got = simhash.one_of_each(more, words=3, radius=3, segments=2, seed=42)
     assert got.columns == more.columns and all(r["_hash"] == "mine _hash" and r["_row"] == "mine _row" for r in got.collect())
     assert got.count() == simhash.one_of_each(docs, words=3, radius=3, segments=2, seed=42).count()
+
+
+def test_lookups_are_never_broadcast(spark):
+    """An exploded row counts once in Spark's sizes, so the many lookups of a small table of nodes would go to the driver."""
+    nodes = spark.range(500).select(F.xxhash64("id").alias("fp"))
+    found = simhash.links(nodes)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
